@@ -39,38 +39,35 @@ def snapshot_diff(
         .filter(F.col("_surplus") != 0)
     )
     gone, came = F.col("_surplus") < 0, F.col("_surplus") > 0
-    values = F.struct(*compare)
+    # One row left and one came, so the maximum over the lost rows is that row's value.
     replaced = (
-        surplus.groupBy(*keys)
+        surplus.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
         .agg(
             F.sum(F.when(gone, -F.col("_surplus"))).alias("_gone"),
             F.sum(F.when(came, F.col("_surplus"))).alias("_came"),
-            F.max(F.when(gone, values)).alias("_old"),
-            F.max(F.when(came, values)).alias("_new"),
+            *[F.max(F.when(gone, F.col(c))).alias(f"_old_{c}") for c in compare],
         )
         .filter((F.col("_gone") == 1) & (F.col("_came") == 1))
     )
-    changed = replaced.select(
-        *keys,
-        F.lit("changed").alias("change_type"),
-        *[F.col(f"_old.{c}").alias(f"old_{c}") for c in compare],
-        *[F.col(f"_new.{c}").alias(f"new_{c}") for c in compare],
-        F.lit(1).cast("bigint").alias("copies"),
-    )
-
     # A key may be NULL, hence the null-safe match.
-    paired = replaced.select(*[F.col(k).alias(f"_paired_{k}") for k in keys])
     same_key = F.lit(True)
     for k in keys:
-        same_key = same_key & F.col(k).eqNullSafe(F.col(f"_paired_{k}"))
-    single = surplus.join(paired, same_key, "left_anti").select(
-        *keys,
-        F.when(came, "added").otherwise("removed").alias("change_type"),
-        *[F.when(gone, F.col(c)).alias(f"old_{c}") for c in compare],
-        *[F.when(came, F.col(c)).alias(f"new_{c}") for c in compare],
-        F.abs("_surplus").alias("copies"),
+        same_key = same_key & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    matched = F.col("_gone").isNotNull()
+    return (
+        surplus.join(replaced, same_key, "left")
+        .filter(came | ~matched)
+        .select(
+            *keys,
+            F.when(matched, "changed").when(came, "added").otherwise("removed").alias("change_type"),
+            *[
+                F.when(matched, F.col(f"_old_{c}")).when(gone, F.col(c)).alias(f"old_{c}")
+                for c in compare
+            ],
+            *[F.when(came, F.col(c)).alias(f"new_{c}") for c in compare],
+            F.abs("_surplus").alias("copies"),
+        )
     )
-    return changed.unionByName(single)
 
 
 def upgrade_readings(readings: DataFrame, *keep: str) -> DataFrame:

@@ -120,7 +120,7 @@ def profile(
         for rank in sorted({r for f in fractions for r in _neighbours(f, stats[f"n{i}"])})
     ]
     first_piece = {
-        i: Piece(i, stats[f"min{i}"], stats[f"max{i}"], True, 0, stats[f"n{i}"])
+        i: Piece(i, stats[f"min{i}"], True, stats[f"max{i}"], True, 0, stats[f"n{i}"])
         for i in range(len(names))
         if stats[f"n{i}"]
     }
@@ -136,7 +136,7 @@ def profile(
                 continue
             low, high = _neighbours(f, n)
             a, b = values[i, low], values[i, high]
-            quantiles.append(a if low == high else a + (b - a) * (f * (n - 1) - low))
+            quantiles.append(a if a == b else a + (b - a) * (f * (n - 1) - low))
         rows.append(
             (name, n, stats[f"mean{i}"], stats[f"std{i}"], stats[f"min{i}"], *quantiles,
              stats[f"max{i}"])
@@ -158,15 +158,13 @@ def _neighbours(fraction: float, n: int) -> tuple[int, int]:
 
 @dataclass(frozen=True)
 class Piece:
-    """A value interval of one column with exactly known counts.
-
-    ``closed`` intervals include both ends, the others neither.
-    """
+    """A value interval of one column with exactly known counts."""
 
     column: int
     low: float
+    low_included: bool
     high: float
-    closed: bool
+    high_included: bool
     below: int  # values smaller than every value in the piece
     size: int  # values in the piece
 
@@ -174,9 +172,9 @@ class Piece:
         return self.below <= rank < self.below + self.size
 
     def condition(self, number: Column) -> Column:
-        if self.closed:
-            return (number >= self.low) & (number <= self.high)
-        return (number > self.low) & (number < self.high)
+        above = number >= self.low if self.low_included else number > self.low
+        under = number <= self.high if self.high_included else number < self.high
+        return above & under
 
 
 def _values_at(
@@ -192,7 +190,7 @@ def _values_at(
     open_ranks = {(i, rank): first_piece[i] for i, rank in wanted}
     while True:
         for key, piece in list(open_ranks.items()):
-            if piece.closed and piece.low == piece.high:
+            if piece.low == piece.high:
                 found[key] = piece.low
                 del open_ranks[key]
         if not open_ranks:
@@ -259,18 +257,17 @@ def _cut(table, names, large, accuracy) -> dict[tuple[int, int], Piece]:
 
 def _piece_with(rank, piece, cuts, totals) -> Piece:
     """The part of ``piece`` between or at the cut points that holds ``rank``."""
-    # The ends of a closed piece are data values; step just outside them so that
-    # every part left or right of a cut can be written as an open interval.
-    left = math.nextafter(piece.low, -math.inf) if piece.closed else piece.low
-    right = math.nextafter(piece.high, math.inf) if piece.closed else piece.high
-    done = 0
+    low, low_included, done = piece.low, piece.low_included, 0
     for cut in cuts:
         smaller, equal = totals[piece, cut]
         for part in (
-            Piece(piece.column, left, cut, False, piece.below + done, smaller - done),
-            Piece(piece.column, cut, cut, True, piece.below + smaller, equal),
+            Piece(piece.column, low, low_included, cut, False, piece.below + done, smaller - done),
+            Piece(piece.column, cut, True, cut, True, piece.below + smaller, equal),
         ):
             if part.holds(rank):
                 return part
-        left, done = cut, smaller + equal
-    return Piece(piece.column, left, right, False, piece.below + done, piece.size - done)
+        low, low_included, done = cut, False, smaller + equal
+    return Piece(
+        piece.column, low, low_included, piece.high, piece.high_included,
+        piece.below + done, piece.size - done,
+    )

@@ -1,0 +1,69 @@
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import types as T
+
+from millpulse.operators.profile import approximate_profile, column_info, profile
+
+RNG = random.Random(7)
+SHAPES = {
+    "uniform": [RNG.uniform(-50, 50) for _ in range(3000)],
+    "hot_value": [20.0] * 1500 + [RNG.gauss(20, 5) for _ in range(1500)],
+    "two_values": [1.0] * 1500 + [2.0] * 1501,
+    "one_value": [3.5] * 2000,
+    "heavy_tail": [10 ** RNG.uniform(-300, 300) * RNG.choice([-1, 1]) for _ in range(3000)],
+    "infinite": [float("-inf")] * 900 + [1.0, 2.0] * 200 + [float("inf")] * 900,
+    "zeros": [0.0] * 1000 + [-0.0] * 1000 + [1e-300] * 1000,
+}
+
+
+def expected(values):
+    d = pd.Series(values, dtype="float64").describe()
+    return [d["mean"], d["std"], d["min"], d["25%"], d["50%"], d["75%"], d["max"]]
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("in_memory", [10, 100_000])
+def test_exact_profile_equals_pandas(spark, shape, in_memory):
+    values = list(SHAPES[shape])
+    RNG.shuffle(values)
+    table = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    # A coarse sketch and a small piece limit force several rounds of cutting.
+    row = profile(table, accuracy=20, in_memory=in_memory).first()
+    assert row["non_null"] == len(values)
+    if shape == "infinite":
+        assert (row["min"], row["p25"], row["p50"], row["p75"], row["max"]) == (
+            float("-inf"), float("-inf"), 1.5, float("inf"), float("inf"))
+        return
+    got = [row[c] for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
+    want = expected(values)
+    assert got[2:] == pytest.approx(want[2:], rel=1e-12, abs=0)
+    if shape != "heavy_tail":
+        assert got[:2] == pytest.approx(want[:2], rel=1e-9, abs=1e-12)
+
+
+def test_unknown_values_and_other_columns(spark):
+    table = spark.createDataFrame(
+        [(1.0, 1, "a", None), (float("nan"), 2, "b", None), (3.0, None, None, None)],
+        "x double, n int, s string, empty double",
+    )
+    rows = {r["column_name"]: r for r in profile(table).collect()}
+    assert set(rows) == {"x", "n", "empty"}
+    assert (rows["x"]["non_null"], rows["x"]["p50"], rows["x"]["std"]) == (2, 2.0, np.sqrt(2))
+    assert (rows["n"]["non_null"], rows["n"]["p25"]) == (2, 1.25)
+    assert rows["empty"]["non_null"] == 0 and rows["empty"]["p50"] is None
+    info = [tuple(r) for r in column_info(table).collect()]
+    assert info == [(0, "x", "double", 2), (1, "n", "int", 2), (2, "s", "string", 2),
+                    (3, "empty", "double", 0)]
+
+
+def test_approximate_profile_is_close_in_rank(spark):
+    values = SHAPES["uniform"]
+    table = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("x", T.DoubleType())]))
+    row = approximate_profile(table, accuracy=1000).first()
+    for name, fraction in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        rank = sum(v <= row[name] for v in values) / len(values)
+        assert abs(rank - fraction) < 0.005
+    assert row["non_null"] == len(values) and row["max"] == max(values)

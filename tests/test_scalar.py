@@ -1,0 +1,82 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from millpulse.functions import scalar as S
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+def as_text(column):
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
+@pytest.mark.parametrize(
+    "celsius, band",
+    [(80.0, "NORMAL"), (80.01, "HIGH"), (20.0, "NORMAL"), (19.99, "LOW"),
+     (None, "NORMAL"), (float("nan"), "HIGH")],
+)
+def test_temperature_band(spark, celsius, band):
+    assert one(spark, S.temperature_band(F.lit(celsius).cast("double"))) == band
+
+
+def test_unit_conversions(spark):
+    assert one(spark, S.to_fahrenheit(F.lit(36.6))) == 97.88000000000001
+    assert one(spark, S.to_psi(F.lit(2.0))) == 2.0 * 14.5038
+    assert one(spark, S.to_fahrenheit(F.lit(None).cast("double"))) is None
+
+
+def test_unreadable_time_is_null(spark):
+    assert one(spark, S.parse_timestamp(F.lit("garbage"))) is None
+    text = as_text(S.parse_timestamp(F.lit("2024-01-01T00:00:00+02:00")))
+    assert one(spark, text) == "2023-12-31 22:00:00.000000"
+
+
+@pytest.mark.parametrize(
+    "instant, start",
+    [("2024-01-01 00:14:59.9", "2024-01-01 00:00:00.000000"),
+     ("2024-01-01 00:15:00", "2024-01-01 00:15:00.000000"),
+     ("1969-12-31 23:59:59", "1969-12-31 23:45:00.000000")],
+)
+def test_bucket_start(spark, instant, start):
+    assert one(spark, as_text(S.bucket_start(F.lit(instant).cast("timestamp")))) == start
+
+
+def test_bucket_start_in_a_daylight_saving_overlap(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        bucket = S.bucket_start(F.lit("2024-11-03T06:00:00Z").cast("timestamp"))
+        assert one(spark, F.unix_seconds(bucket)) == 1730613600  # 06:00 UTC
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize(
+    "unit, epoch",
+    [("s", 1704067200), ("ms", 1704067200123), ("us", 1704067200123456),
+     ("ns", 1704067200123456789), ("ns", -1)],
+)
+def test_epoch_precisions(spark, unit, epoch):
+    micros = {"s": epoch * 10**6, "ms": epoch * 1000, "us": epoch, "ns": epoch // 1000}[unit]
+    assert one(spark, F.unix_micros(S.epoch_to_timestamp(F.lit(epoch), unit))) == micros
+
+
+def test_unknown_epoch_unit():
+    with pytest.raises(ValueError):
+        S.epoch_to_timestamp(F.lit(1), "minutes")
+
+
+@pytest.mark.parametrize(
+    "instant", [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5, 60)]
+)
+def test_iso_text_equals_isoformat(spark, instant):
+    column = F.lit(str(instant)).cast("timestamp")
+    assert one(spark, S.iso_text(column)) == instant.isoformat()
+
+
+def test_fault_display(spark):
+    shown = [one(spark, S.fault_display(S.is_fault(F.lit(v).cast("int")))) for v in (2, 0, None)]
+    assert shown == ["FAULT", "OK", "OK"]
