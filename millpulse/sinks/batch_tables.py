@@ -97,4 +97,5 @@ BatchTable = PathTable | CatalogTable
 
 def append_table(rows: DataFrame, name: str) -> None:
     """Plain append to an existing table, columns matched by name. Not safe to replay."""
-    rows.writeTo(name).append()
+    # insertInto matches by position.
+    rows.select(*rows.sparkSession.table(name).columns).write.insertInto(name)

@@ -1,0 +1,223 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from millpulse.operators.encode import encode_messages
+from millpulse.operators.enrich import derive, monitor_view
+from millpulse.operators.metrics import merged_window_metrics, window_metrics
+from millpulse.schemas import EVENT, QUARANTINE
+from millpulse.sinks.batch_tables import PARTIALS, QUARANTINED, READINGS, PathTable
+from millpulse.sinks.messages import publish_files
+from millpulse.sources.messages import file_messages
+from millpulse.streaming import ingest, windows
+from millpulse.streaming.ingest import IngestTargets, enriched_stream, start_ingest
+from millpulse.streaming.monitor import start_monitor
+
+NOW = {"availableNow": True}
+T0 = dt.datetime(2024, 1, 1)
+
+
+def rows(spark, n=240):
+    return derive(
+        spark.range(n).select(
+            (F.lit(T0).cast("timestamp") + F.make_dt_interval(mins=F.col("id"))).alias("event_time"),
+            F.concat(F.lit("m"), (F.col("id") % 3).cast("string")).alias("machine_id"),
+            (F.col("id") % 11).cast("double").alias("vibration_mms"),
+            (F.col("id") % 97).cast("double").alias("temperature_c"),
+            (F.col("id") % 5).cast("double").alias("pressure_bar"),
+            F.lit(0.5).alias("rms_vibration"),
+            F.lit(20.0).alias("mean_temp"),
+            (F.col("id") % 2).cast("int").alias("fault_label"),
+        )
+    )
+
+
+def topic(spark, path, files=4, frame=None):
+    messages = encode_messages((frame or rows(spark)).withColumn("row_time", F.col("event_time")))
+    publish_files(messages.repartition(files), str(path))
+    return str(path)
+
+
+def targets(tmp_path, quarantine=False):
+    return IngestTargets(
+        PathTable(str(tmp_path / "readings"), READINGS),
+        PathTable(str(tmp_path / "partials"), PARTIALS),
+        PathTable(str(tmp_path / "quarantine"), QUARANTINED) if quarantine else None,
+    )
+
+
+def same_rows(a, b):
+    columns = [c for c in a.columns if c in b.columns and c not in ("processing_time", "timestamp")]
+    assert len(columns) > 5
+    assert sorted(map(repr, a.select(columns).collect())) == sorted(map(repr, b.select(columns).collect()))
+
+
+def assert_tables_complete(spark, out):
+    same_rows(out.readings.read(spark).drop("batch_id"), rows(spark))
+    same_rows(merged_window_metrics(out.partials.read(spark)), window_metrics(rows(spark)))
+
+
+@pytest.mark.parametrize("files, per_batch", [(1, 1), (6, 2), (5, 1)])
+def test_stream_equals_batch_however_it_is_split(spark, tmp_path, files, per_batch):
+    path = topic(spark, tmp_path / "topic", files)
+    out, seen = targets(tmp_path), []
+    start_ingest(
+        file_messages(spark, path, per_batch), out, str(tmp_path / "cp"), NOW, seen.append
+    ).awaitTermination()
+    assert_tables_complete(spark, out)
+    assert len(seen) == -(-files // per_batch)
+    assert sum(r.readings for r in seen) == sum(r.timed_readings for r in seen) == 240
+
+
+def test_partials_of_split_windows_merge_to_one_row(spark, tmp_path):
+    path = topic(spark, tmp_path / "topic", 4)
+    out = targets(tmp_path)
+    start_ingest(file_messages(spark, path, 1), out, str(tmp_path / "cp"), NOW).awaitTermination()
+    stored = out.partials.read(spark)
+    groups = stored.select("window_start", "machine_id").distinct().count()
+    assert stored.count() > groups == merged_window_metrics(stored).count()
+
+
+def test_crash_between_two_tables_loses_and_repeats_nothing(spark, tmp_path, monkeypatch):
+    path = topic(spark, tmp_path / "topic", 4)
+    out, write = targets(tmp_path), PathTable.replace_batch
+
+    def failing(self, frame, batch_id):
+        if self.layout is PARTIALS and batch_id == 2:
+            raise RuntimeError("lost")
+        write(self, frame, batch_id)
+
+    monkeypatch.setattr(PathTable, "replace_batch", failing)
+    query = start_ingest(file_messages(spark, path, 1), out, str(tmp_path / "cp"), NOW)
+    with pytest.raises(Exception, match="lost"):
+        query.awaitTermination()
+    assert out.readings.read(spark).select("batch_id").distinct().count() == 3
+    assert out.partials.read(spark).select("batch_id").distinct().count() == 2
+
+    monkeypatch.setattr(PathTable, "replace_batch", write)
+    start_ingest(file_messages(spark, path, 1), out, str(tmp_path / "cp"), NOW).awaitTermination()
+    assert_tables_complete(spark, out)
+
+
+def test_restart_continues_with_new_messages_only(spark, tmp_path):
+    path = topic(spark, tmp_path / "topic", 2, rows(spark).filter("minute(event_time) < 30"))
+    out, seen = targets(tmp_path), []
+    for _ in range(2):
+        start_ingest(
+            file_messages(spark, path), out, str(tmp_path / "cp"), NOW, seen.append
+        ).awaitTermination()
+    topic(spark, path, 2, rows(spark).filter("minute(event_time) >= 30"))
+    start_ingest(
+        file_messages(spark, path), out, str(tmp_path / "cp"), NOW, seen.append
+    ).awaitTermination()
+    assert_tables_complete(spark, out)
+    assert [r.readings for r in seen] == [120, 120]
+
+
+def test_batch_without_any_time_writes_no_metrics(spark, tmp_path):
+    (tmp_path / "topic").mkdir()
+    (tmp_path / "topic" / "a.txt").write_text('not json\n{"machine_id":"m"}\n')
+    out, seen = targets(tmp_path), []
+    start_ingest(
+        file_messages(spark, str(tmp_path / "topic")), out, str(tmp_path / "cp"), NOW, seen.append
+    ).awaitTermination()
+    assert out.readings.read(spark).count() == 2
+    assert [(r.readings, r.timed_readings) for r in seen] == [(2, 0)]
+    assert not (tmp_path / "partials").exists()
+
+
+def test_quarantine_takes_what_readings_do_not(spark, tmp_path):
+    path = topic(spark, tmp_path / "topic", 1)
+    (tmp_path / "topic" / "bad.txt").write_text(
+        'not json\n{"timestamp":"2024-01-01T00:00:00"}\n{"timestamp":"garbage","machine_id":"m"}\n'
+    )
+    out = targets(tmp_path, quarantine=True)
+    start_ingest(file_messages(spark, path), out, str(tmp_path / "cp"), NOW).awaitTermination()
+    assert_tables_complete(spark, out)
+    rejected = out.quarantine.read(spark)
+    assert rejected.schema.names == [*QUARANTINE.names, "batch_id"]
+    assert {(r["raw"], r["reason"]) for r in rejected.collect()} == {
+        ("not json", "malformed_json"),
+        ('{"timestamp":"2024-01-01T00:00:00"}', "missing_machine_id"),
+        ('{"timestamp":"garbage","machine_id":"m"}', "bad_event_time"),
+    }
+
+
+def test_metrics_carry_the_processing_time_of_the_stream(spark, tmp_path):
+    path = topic(spark, tmp_path / "topic", 2)
+    out = targets(tmp_path)
+    start_ingest(file_messages(spark, path, 1), out, str(tmp_path / "cp"), NOW).awaitTermination()
+    times = [
+        {(r["batch_id"], r["processing_time"]) for r in table.read(spark).select(
+            "batch_id", "processing_time").distinct().collect()}
+        for table in (out.readings, out.partials)
+    ]
+    assert times[0] == times[1] and len(times[0]) == 2
+
+
+def test_console_monitor_runs_beside_the_table_query(spark, tmp_path):
+    path = topic(spark, tmp_path / "topic", 2)
+    messages = file_messages(spark, path)
+    out = targets(tmp_path)
+    spark.streams.resetTerminated()  # forget the failed queries of other tests
+    tables = start_ingest(messages, out, str(tmp_path / "cp"), NOW, name="tables")
+    monitor = start_monitor(
+        monitor_view(enriched_stream(messages)), NOW, sink="memory", name="monitor_test"
+    )
+    ingest.await_any(spark)
+    tables.awaitTermination()
+    monitor.awaitTermination()
+    shown = spark.table("monitor_test")
+    assert shown.columns == [*EVENT.names, "event_time", "date", "hour", "temp_fahrenheit",
+                             "pressure_psi", "is_fault", "temp_status"]
+    assert shown.count() == 240
+    assert_tables_complete(spark, out)
+
+
+def test_console_sink_and_timed_trigger(spark, tmp_path):
+    path = topic(spark, tmp_path / "topic", 1)
+    query = start_monitor(
+        enriched_stream(file_messages(spark, path)), {"processingTime": "1 second"}
+    )
+    query.processAllAvailable()
+    assert query.exception() is None and query.lastProgress is not None
+    query.stop()
+
+
+def windowed(spark, tmp_path, source, mode):
+    target = PathTable(str(tmp_path / mode), PARTIALS)
+    windows.start_windowed(
+        enriched_stream(source), target, str(tmp_path / f"cp-{mode}"), NOW, output_mode=mode
+    ).awaitTermination()
+    return windows.latest_windows(target.read(spark))
+
+
+def ordered_topic(spark, tmp_path, files=4):
+    """One file per hour, written in time order."""
+    path = tmp_path / "topic"
+    for hour in range(files):
+        part = rows(spark).filter((F.hour("event_time") == hour))
+        topic(spark, path, 1, part)
+    return str(path)
+
+
+def test_updating_windows_equal_batch(spark, tmp_path):
+    source = file_messages(spark, ordered_topic(spark, tmp_path), 1)
+    same_rows(windowed(spark, tmp_path, source, "update"), window_metrics(rows(spark)))
+
+
+def test_closed_windows_are_written_once(spark, tmp_path):
+    source = file_messages(spark, ordered_topic(spark, tmp_path), 1)
+    result = windowed(spark, tmp_path, source, "append")
+    # The last event is 03:59, so the watermark stands at 03:49.
+    closed = window_metrics(rows(spark)).filter(F.col("window_end") <= F.lit(dt.datetime(2024, 1, 1, 3, 49)))
+    same_rows(result, closed)
+    assert result.count() == closed.count() > 0
+
+
+def test_publishing_spreads_small_tables_only(spark, tmp_path):
+    messages = encode_messages(rows(spark).withColumn("row_time", F.col("event_time")))
+    assert publish_files(messages.coalesce(1), str(tmp_path / "a"), min_files=4) == 4
+    assert publish_files(messages.repartition(3), str(tmp_path / "b"), min_files=2) == 3
+    assert spark.read.text(str(tmp_path / "a")).count() == 240
