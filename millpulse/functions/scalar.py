@@ -22,9 +22,8 @@ def parse_timestamp(text: Column, fmt: str | None = None) -> Column:
 
 def iso_text(instant: Column) -> Column:
     """ISO-8601 text; the fraction appears (six digits) only when there is one."""
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(instant, ".SSSSSS")
-    return F.when(fraction == ".000000", whole).otherwise(F.concat(whole, fraction))
+    text = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.replace(text, F.lit(".000000"), F.lit(""))
 
 
 def to_fahrenheit(celsius: Column) -> Column:

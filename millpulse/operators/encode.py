@@ -41,7 +41,11 @@ def typed_rows(
     # Through double: a label written as 1.0 is still the label 1.
     fields["fault_label"] = cells["fault_label"].try_cast("double").try_cast("int")
 
-    typed = rows.withColumns(fields)
+    # Expanded from a one-element array, the typed fields are computed once; a
+    # filter on the reason stays above them.
+    typed = rows.select(
+        "*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in fields.items()])))
+    )
     reason = F.when(F.col("row_time").isNull(), "timestamp")
     for name in _NUMERIC:
         reason = reason.when(~_missing(cells[name]) & F.col(name).isNull(), name)

@@ -34,22 +34,23 @@ def parse_messages(messages: DataFrame, *keep: str) -> DataFrame:
 
 def classify_messages(messages: DataFrame, *keep: str) -> DataFrame:
     """The event fields plus ``raw`` text and ``reason`` (one of ``REASONS``)."""
-    text = F.col("value").cast("string")
-    data = F.from_json(text, _EVENT_OR_CORRUPT, {"columnNameOfCorruptRecord": _CORRUPT})
-    parsed = messages.select(*keep, text.alias("raw"), data.alias("data"))
-    fields = [F.col(f"data.{name}").alias(name) for name in EVENT.names]
-    return parsed.select(*keep, "raw", *fields, _reason().alias("reason"))
+    text = F.col("value").cast("string").alias("raw")
+    data = F.from_json("raw", _EVENT_OR_CORRUPT, {"columnNameOfCorruptRecord": _CORRUPT})
+    # As a one-element array expanded to columns, the parsed message is computed
+    # exactly once: a filter on ``reason`` is not pushed below the expansion,
+    # where it would parse the text again for every field it looks at.
+    parsed = messages.select(*keep, text).select(*keep, "raw", F.inline(F.array(data)))
+    return parsed.withColumn("reason", _reason()).drop(_CORRUPT)
 
 
 def _reason() -> Column:
-    raw = F.col("raw")
-    corrupt = F.col(f"data.{_CORRUPT}").isNotNull()
+    raw, corrupt = F.col("raw"), F.col(_CORRUPT).isNotNull()
     is_object = F.json_object_keys(raw).isNotNull()
     return (
         F.when(raw.isNull() | (F.trim(raw) == ""), "empty")
         .when(corrupt & ~is_object, "malformed_json")
-        .when(S.parse_timestamp(F.col("data.timestamp")).isNull(), "bad_event_time")
-        .when(F.col("data.machine_id").isNull(), "missing_machine_id")
+        .when(S.parse_timestamp(F.col("timestamp")).isNull(), "bad_event_time")
+        .when(F.col("machine_id").isNull(), "missing_machine_id")
         .when(corrupt, "bad_field")
         .otherwise("valid")
     )
