@@ -112,35 +112,33 @@ def profile(
     distribution, so a trillion rows need two rounds of cutting.
     """
     names = list(columns or numeric_columns(table))
-    stats = table.agg(*_moments(names)).first()
-    wanted = [
-        (i, rank)
-        for i in range(len(names))
-        if stats[f"n{i}"]
-        for rank in sorted({r for f in fractions for r in _neighbours(f, stats[f"n{i}"])})
-    ]
-    first_piece = {
-        i: Piece(i, stats[f"min{i}"], True, stats[f"max{i}"], True, 0, stats[f"n{i}"])
-        for i in range(len(names))
-        if stats[f"n{i}"]
+    # The first scan also sketches every column, around the wanted fractions.
+    around = [min(max(f + d, 0.0), 1.0) for f in fractions for d in _offsets(accuracy)]
+    stats = table.agg(
+        *_moments(names),
+        *[F.percentile_approx(_number(c), around, accuracy).alias(f"q{i}") for i, c in enumerate(names)],
+    ).first()
+    known = [i for i in range(len(names)) if stats[f"n{i}"]]
+    whole = {i: Piece(i, stats[f"min{i}"], True, stats[f"max{i}"], True, 0, stats[f"n{i}"]) for i in known}
+    wanted = {
+        (i, rank): whole[i] for i in known for f in fractions for rank in _neighbours(f, whole[i].size)
     }
-    values = _values_at(table, names, wanted, first_piece, accuracy, in_memory)
+    cuts = {i: set(stats[f"q{i}"]) for i in known if whole[i].size > in_memory}
+    values = _values_at(table, names, wanted, cuts, accuracy, in_memory)
 
     rows = []
     for i, name in enumerate(names):
-        n = stats[f"n{i}"]
         quantiles = []
         for f in fractions:
-            if not n:
+            if i not in whole:
                 quantiles.append(None)
                 continue
+            n = whole[i].size
             low, high = _neighbours(f, n)
             a, b = values[i, low], values[i, high]
             quantiles.append(a if a == b else a + (b - a) * (f * (n - 1) - low))
-        rows.append(
-            (name, n, stats[f"mean{i}"], stats[f"std{i}"], stats[f"min{i}"], *quantiles,
-             stats[f"max{i}"])
-        )
+        moments = (stats[f"{m}{i}"] for m in ("n", "mean", "std", "min"))
+        rows.append((name, *moments, *quantiles, stats[f"max{i}"]))
     schema = T.StructType(
         [T.StructField("column_name", T.StringType()), T.StructField("non_null", T.LongType())]
         + [
@@ -151,6 +149,10 @@ def profile(
     return table.sparkSession.createDataFrame(rows, schema)
 
 
+def _offsets(accuracy: int) -> tuple[float, float, float]:
+    return -2 / accuracy, 0.0, 2 / accuracy
+
+
 def _neighbours(fraction: float, n: int) -> tuple[int, int]:
     position = fraction * (n - 1)
     return math.floor(position), math.ceil(position)
@@ -171,103 +173,97 @@ class Piece:
     def holds(self, rank: int) -> bool:
         return self.below <= rank < self.below + self.size
 
-    def condition(self, number: Column) -> Column:
+    def inside(self, number: Column) -> Column:
+        """The number where it lies in the piece, else NULL."""
         above = number >= self.low if self.low_included else number > self.low
         under = number <= self.high if self.high_included else number < self.high
-        return above & under
+        return F.when(above & under, number)
 
 
 def _values_at(
     table: DataFrame,
     names: Sequence[str],
-    wanted: list[tuple[int, int]],
-    first_piece: dict[int, Piece],
+    wanted: dict[tuple[int, int], Piece],
+    cuts: dict[int, set[float]],
     accuracy: int,
     in_memory: int,
 ) -> dict[tuple[int, int], float]:
     """The value at each wanted (column, rank), ranks counted from zero."""
     found: dict[tuple[int, int], float] = {}
-    open_ranks = {(i, rank): first_piece[i] for i, rank in wanted}
-    while True:
-        for key, piece in list(open_ranks.items()):
-            if piece.low == piece.high:
-                found[key] = piece.low
-                del open_ranks[key]
-        if not open_ranks:
-            return found
-        small = [(k, p) for k, p in open_ranks.items() if p.size <= in_memory]
-        large = [(k, p) for k, p in open_ranks.items() if p.size > in_memory]
-        found.update(_look_up(table, names, small))
-        open_ranks = _cut(table, names, large, accuracy)
-
-
-def _look_up(table, names, small) -> dict[tuple[int, int], float]:
-    """Ranks inside pieces whose size was counted to be small."""
-    if not small:
-        return {}
-    pieces = list(dict.fromkeys(p for _, p in small))
-    lists = table.agg(
-        *[
-            F.sort_array(
-                F.collect_list(F.when(p.condition(_number(names[p.column])), _number(names[p.column])))
-            ).alias(f"s{j}")
-            for j, p in enumerate(pieces)
-        ]
-    )
-    picks = lists.select(
-        *[
-            F.get(f"s{pieces.index(p)}", F.lit(rank - p.below)).alias(f"v{j}")
-            for j, ((_, rank), p) in enumerate(small)
-        ]
-    ).first()
-    return {key: picks[f"v{j}"] for j, (key, _) in enumerate(small)}
-
-
-def _cut(table, names, large, accuracy) -> dict[tuple[int, int], Piece]:
-    """A strictly smaller piece for every rank in ``large``."""
-    if not large:
-        return {}
-    proposals = []
-    for j, ((i, rank), piece) in enumerate(large):
+    while wanted:
+        if cuts:
+            pieces = _pieces_between(table, names, wanted, cuts)
+            wanted = {
+                (i, rank): next(p for p in pieces[i] if p.holds(rank)) if i in pieces else piece
+                for (i, rank), piece in wanted.items()
+            }
+        found |= {key: p.low for key, p in wanted.items() if p.low == p.high}
+        wanted = {key: p for key, p in wanted.items() if key not in found}
+        looked_up, cuts = _open_pieces(table, names, wanted, accuracy, in_memory)
+        found |= looked_up
+        wanted = {key: p for key, p in wanted.items() if key not in found}
+    return found
+
+
+def _pieces_between(table, names, wanted, cuts) -> dict[int, list[Piece]]:
+    """Each cut column as consecutive pieces, every cut point a piece of its own.
+
+    The ends of the pieces known so far are cut points too, so what lies
+    outside them keeps its exact count. One scan; one group per piece.
+    """
+    points: dict[int, list[float]] = {}
+    for i, new in cuts.items():
+        ends = {e for (j, _), p in wanted.items() if j == i for e in (p.low, p.high)}
+        points[i] = sorted(new | ends)
+    slots = []
+    for i, values in points.items():
         number = _number(names[i])
-        inside = F.when(piece.condition(number), number)
-        at = (rank - piece.below) / max(piece.size - 1, 1)
-        around = [min(max(at + d, 0.0), 1.0) for d in (-2 / accuracy, 0.0, 2 / accuracy)]
-        proposals.append(F.percentile_approx(inside, around, accuracy).alias(f"c{j}"))
-    cuts = table.agg(*proposals).first()
-
-    points = {
-        (piece, cut): None for j, (_, piece) in enumerate(large) for cut in sorted(set(cuts[f"c{j}"]))
-    }
-    counts = []
-    for j, (piece, cut) in enumerate(points):
-        number = _number(names[piece.column])
-        counts += [
-            F.count_if(piece.condition(number) & (number < cut)).alias(f"lt{j}"),
-            F.count_if(piece.condition(number) & (number == cut)).alias(f"eq{j}"),
-        ]
-    counted = table.agg(*counts).first()
-    totals = {key: (counted[f"lt{j}"], counted[f"eq{j}"]) for j, key in enumerate(points)}
+        slot = F.when(number.isNull(), None)
+        for k, value in enumerate(values):
+            slot = slot.when(number < value, 2 * k).when(number == value, 2 * k + 1)
+        slots.append(F.struct(F.lit(i).alias("column"), slot.otherwise(2 * len(values)).alias("slot")))
+    counted = table.select(F.inline(F.array(*slots))).groupBy("column", "slot").count().collect()
+    counts = {(r["column"], r["slot"]): r["count"] for r in counted}
 
     out = {}
-    for j, ((i, rank), piece) in enumerate(large):
-        out[i, rank] = _piece_with(rank, piece, sorted(set(cuts[f"c{j}"])), totals)
+    for i, values in points.items():
+        out[i], below = [], 0
+        bounds = [-math.inf, *values, math.inf]
+        for slot in range(2 * len(values) + 1):
+            size = counts.get((i, slot), 0)
+            at_point = slot % 2
+            low = bounds[slot // 2 + at_point]
+            high = low if at_point else bounds[slot // 2 + 1]
+            out[i].append(Piece(i, low, bool(at_point), high, bool(at_point), below, size))
+            below += size
     return out
 
 
-def _piece_with(rank, piece, cuts, totals) -> Piece:
-    """The part of ``piece`` between or at the cut points that holds ``rank``."""
-    low, low_included, done = piece.low, piece.low_included, 0
-    for cut in cuts:
-        smaller, equal = totals[piece, cut]
-        for part in (
-            Piece(piece.column, low, low_included, cut, False, piece.below + done, smaller - done),
-            Piece(piece.column, cut, True, cut, True, piece.below + smaller, equal),
-        ):
-            if part.holds(rank):
-                return part
-        low, low_included, done = cut, False, smaller + equal
-    return Piece(
-        piece.column, low, low_included, piece.high, piece.high_included,
-        piece.below + done, piece.size - done,
-    )
+def _open_pieces(table, names, wanted, accuracy, in_memory):
+    """Values of the ranks in small pieces, and new cut points inside large ones."""
+    pieces: dict[Piece, list[int]] = {}
+    for (_, rank), piece in wanted.items():
+        pieces.setdefault(piece, []).append(rank - piece.below)
+    if not pieces:
+        return {}, {}
+    columns = []
+    for j, (piece, places) in enumerate(pieces.items()):
+        inside = piece.inside(_number(names[piece.column]))
+        if piece.size <= in_memory:
+            # Counted before: the list cannot grow past the limit.
+            ordered = F.sort_array(F.collect_list(inside))
+            column = F.transform(F.array(*map(F.lit, places)), lambda at: F.get(ordered, at))
+        else:
+            shares = [at / (piece.size - 1) + d for at in places for d in _offsets(accuracy)]
+            column = F.percentile_approx(inside, [min(max(s, 0.0), 1.0) for s in shares], accuracy)
+        columns.append(column.alias(f"v{j}"))
+    result = table.agg(*columns).first()
+
+    looked_up, cuts = {}, {}
+    for j, (piece, places) in enumerate(pieces.items()):
+        if piece.size <= in_memory:
+            for at, value in zip(places, result[f"v{j}"], strict=True):
+                looked_up[piece.column, at + piece.below] = value
+        else:
+            cuts.setdefault(piece.column, set()).update(result[f"v{j}"])
+    return looked_up, cuts
