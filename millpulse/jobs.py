@@ -82,7 +82,14 @@ def init_tables(spark: SparkSession, args) -> None:
 
 def ingest(spark: SparkSession, args) -> None:
     messages = _messages(spark, args)
-    start_ingest(messages, _tables(args), args.checkpoint, _trigger(args), name="tables")
+    start_ingest(
+        messages,
+        _tables(args),
+        args.checkpoint,
+        _trigger(args),
+        name="tables",
+        backfill=args.backfill,
+    )
     if args.monitor:
         start_monitor(monitor_view(enriched_stream(messages)), name="monitor")
     if args.once:
@@ -173,6 +180,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--checkpoint", required=True, help="durable folder")
     sub.add_argument("--every", default="30 seconds")
     sub.add_argument("--quarantine", action="store_true")
+    sub.add_argument("--backfill", action="store_true", help="steps hold many days at once")
     sub.add_argument("--monitor", action="store_true", help="also print to the console")
 
     command(monitor, source, stream).add_argument("--every", default="5 seconds")

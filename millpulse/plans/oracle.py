@@ -98,6 +98,41 @@ def _info() -> str:
     )
 
 
+def _xxhash64() -> str:
+    """xxHash64 of ``event_id`` with seed 42, step by step in 128-bit integers."""
+    # The five primes of the published algorithm, and 2^64.
+    p1, p2, p3 = 11400714785074694791, 14029467366897019727, 1609587929392839161
+    p4, p5, word = 9650029242287828579, 2870177450012600261, 18446744073709551616
+
+    def times(a: str, b: int) -> str:
+        return f"(({a}) * {b}::UHUGEINT % {word}::UHUGEINT)"
+
+    def rotate(a: str, bits: int) -> str:
+        high = f"(({a}) * {2**bits}::UHUGEINT % {word}::UHUGEINT)"
+        return f"({high} + ({a}) // {2 ** (64 - bits)}::UHUGEINT)"
+
+    def shift(a: str, bits: int) -> str:
+        return f"(({a}) // {2**bits}::UHUGEINT)"
+
+    mixed = times(rotate("k", 31), p1)
+    steps = [
+        f"SELECT event_id, {times('event_id::UHUGEINT', p2)} AS k FROM events",
+        f"SELECT event_id, xor({(42 + p5 + 8) % word}::UHUGEINT, {mixed}) AS h FROM s0",
+        f"SELECT event_id, ({times(rotate('h', 27), p1)} + {p4}::UHUGEINT) % {word}::UHUGEINT AS h"
+        " FROM s1",
+        f"SELECT event_id, {times(f'xor(h, {shift("h", 33)})', p2)} AS h FROM s2",
+        f"SELECT event_id, {times(f'xor(h, {shift("h", 29)})', p3)} AS h FROM s3",
+        f"SELECT event_id, xor(h, {shift('h', 32)}) AS h FROM s4",
+        f"SELECT event_id, CASE WHEN h >= {word // 2}::UHUGEINT THEN h::HUGEINT - {word}::HUGEINT"
+        " ELSE h::HUGEINT END AS h FROM s5",
+    ]
+    named = ", ".join(f"s{i} AS ({step})" for i, step in enumerate(steps))
+    return (
+        f"WITH {named} SELECT event_id, "
+        "'machine_' || CAST((h % 10 + 10) % 10 + 1 AS VARCHAR) AS machine_id FROM s6"
+    )
+
+
 ORACLE: dict[str, str] = {
     "encode_messages": _READINGS + """
 SELECT event_id,
@@ -130,6 +165,7 @@ SELECT event_id,
        vibration_mms, temperature_c, pressure_bar, rms_vibration, mean_temp, fault_label
 FROM r WHERE event_id % 97 <> 0
 """,
+    "assign_machines": _xxhash64(),
     "fault_flags": """
 SELECT event_id, CASE WHEN event_type = 'error' THEN 'FAULT' ELSE 'OK' END AS fault_flag FROM events
 """,

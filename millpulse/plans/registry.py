@@ -318,7 +318,11 @@ def stream_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
     target = batch_tables.PathTable(f"{root}/states", batch_tables.PARTIALS)
     windows.start_windowed(
-        readings, target, f"{root}/checkpoint", trigger={"availableNow": True}
+        readings,
+        target,
+        f"{root}/checkpoint",
+        trigger={"availableNow": True},
+        state_partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     return _metric_columns(windows.latest_windows(target.read(spark)))
 

@@ -30,14 +30,22 @@ PARTIALS = TableLayout(METRIC_PARTIAL, "window_date", ("machine_id", "window_sta
 QUARANTINED = TableLayout(QUARANTINE, "quarantine_date", ("reason",))
 
 
-def _stored(rows: DataFrame, layout: TableLayout, batch_id: int) -> DataFrame:
+def _stored(rows: DataFrame, layout: TableLayout, batch_id: int, rebalance: bool) -> DataFrame:
     """Rows in table column order, sorted the way the partitioned writer needs.
 
-    The sort stays inside each task: no shuffle. Sorting by machine within the
-    day gives tight column statistics, so a filter on a machine skips row groups.
+    The sort stays inside each task. Sorting by machine within the day gives
+    tight column statistics, so a filter on a machine skips row groups.
+
+    Without ``rebalance`` there is no shuffle and each task writes one file per
+    day it holds: right for a live stream, whose batch covers a day or two.
+    With it, rows are first brought together by day, large days split over
+    several tasks and small ones joined by adaptive execution: right for small
+    aggregates, and for a backfill that mixes many days in every task.
     """
-    names = layout.schema.names
-    return rows.select(*names, F.lit(batch_id).cast("bigint").alias("batch_id")).sortWithinPartitions(
+    if rebalance:
+        rows = rows.hint("rebalance", F.col(layout.day))
+    batch = F.lit(batch_id).cast("bigint").alias("batch_id")
+    return rows.select(*layout.schema.names, batch).sortWithinPartitions(
         layout.day, "batch_id", *layout.cluster
     )
 
@@ -50,9 +58,9 @@ class PathTable:
     layout: TableLayout
     compression: str = "snappy"
 
-    def replace_batch(self, rows: DataFrame, batch_id: int) -> None:
+    def replace_batch(self, rows: DataFrame, batch_id: int, rebalance: bool = False) -> None:
         (
-            _stored(rows, self.layout, batch_id)
+            _stored(rows, self.layout, batch_id, rebalance)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", self.compression)
@@ -76,8 +84,8 @@ class CatalogTable:
     layout: TableLayout
     versioned: bool = False
 
-    def replace_batch(self, rows: DataFrame, batch_id: int) -> None:
-        stored = _stored(rows, self.layout, batch_id)
+    def replace_batch(self, rows: DataFrame, batch_id: int, rebalance: bool = False) -> None:
+        stored = _stored(rows, self.layout, batch_id, rebalance)
         if self.versioned:
             stored.writeTo(self.name).overwritePartitions()
             return

@@ -61,6 +61,7 @@ def batch_writer(
     targets: IngestTargets,
     on_batch: Callable[[BatchReport], None] = log_report,
     length: str = WINDOW_LENGTH,
+    backfill: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch to all tables.
 
@@ -69,6 +70,9 @@ def batch_writer(
     the readings are written, so counting costs no job. An error is not caught:
     the query stops, the batch stays uncommitted, and the next start writes it
     again over whatever was left behind.
+
+    ``backfill`` brings readings together by day before they are written, for
+    batches that hold many days at once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -83,14 +87,16 @@ def batch_writer(
                 F.count("*").alias("readings"),
                 F.count("event_time").alias("timed"),
             )
-            targets.readings.replace_batch(counted, batch_id)
+            targets.readings.replace_batch(counted, batch_id, rebalance=backfill)
             readings, timed = seen.get["readings"], seen.get["timed"]
 
             # Without an event time there is no window, hence nothing to write.
             if timed > 0:
                 partials = metric_partials(valid, length)
                 targets.partials.replace_batch(
-                    partials.withColumn("window_date", F.to_date("window_start")), batch_id
+                    partials.withColumn("window_date", F.to_date("window_start")),
+                    batch_id,
+                    rebalance=True,
                 )
             if targets.quarantine is not None:
                 rejected = batch.filter(F.col("reason") != "valid").withColumn(
@@ -111,13 +117,14 @@ def start_ingest(
     trigger: dict[str, Any] | None = None,
     on_batch: Callable[[BatchReport], None] = log_report,
     name: str | None = None,
+    backfill: bool = False,
 ) -> StreamingQuery:
     """Parse, enrich and store a message stream. ``checkpoint`` must be durable."""
     stream = (
         enriched_stream(messages) if targets.quarantine is None else classified_stream(messages)
     )
     writer = (
-        stream.writeStream.foreachBatch(batch_writer(targets, on_batch))
+        stream.writeStream.foreachBatch(batch_writer(targets, on_batch, backfill=backfill))
         .outputMode("append")
         .trigger(**(trigger or TABLE_TRIGGER))
         .option("checkpointLocation", checkpoint)

@@ -33,25 +33,40 @@ def start_windowed(
     delay: str = LATE_BOUND,
     length: str = WINDOW_LENGTH,
     output_mode: str = "update",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Store window states as they change (``update``) or once closed (``append``).
 
     Only changed windows are written in each step, never the whole result.
+
+    The first start fixes the number of state partitions for the life of the
+    checkpoint: ``state_partitions``, or the session's shuffle partitions. About
+    one per core of the cluster is a good choice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # One row per changed window, but spread over all state partitions.
         target.replace_batch(
-            batch.withColumn("window_date", F.to_date("window_start")), batch_id
+            batch.withColumn("window_date", F.to_date("window_start")), batch_id, rebalance=True
         )
 
-    return (
+    writer = (
         windowed_stream(readings, delay, length)
         .writeStream.foreachBatch(write)
         .outputMode(output_mode)
         .trigger(**(trigger or {"processingTime": "30 seconds"}))
         .option("checkpointLocation", checkpoint)
-        .start()
     )
+    if state_partitions is None:
+        return writer.start()
+    # A query takes a copy of the session settings when it starts.
+    settings, key = readings.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = settings.get(key)
+    settings.set(key, state_partitions)
+    try:
+        return writer.start()
+    finally:
+        settings.set(key, before)
 
 
 def latest_windows(states: DataFrame) -> DataFrame:

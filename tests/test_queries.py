@@ -18,8 +18,8 @@ def test_query_equals_sql(spark, name):
     assert compare(spark, entry.queries()[name], entry.oracle_sql().get(name), SMALL) is None
 
 
-def test_only_the_hash_assignment_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"assign_machines"}
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
 
 
 def test_no_python_in_plans(spark):

@@ -65,10 +65,17 @@ def test_rows_without_a_time_are_kept(spark, tmp_path):
 def test_writing_a_batch_does_not_shuffle(spark, tmp_path):
     from millpulse.sinks.batch_tables import _stored
 
-    plan = _stored(readings(spark), READINGS, 0)._jdf.queryExecution().executedPlan().toString()
+    plan = _stored(readings(spark), READINGS, 0, False)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort [date" in plan
 
 
+def test_rebalanced_batch_has_one_small_file_per_day(spark, tmp_path):
+    table = PathTable(str(tmp_path / "t"), READINGS)
+    table.replace_batch(readings(spark).repartition(6), 0, rebalance=True)
+    assert len(list((tmp_path / "t").glob("*/*/*.parquet"))) == len(DAYS)
+    same_rows(table.read(spark).drop("batch_id"), readings(spark))
+
+
 def test_compaction_changes_files_but_not_results(spark, filled, tmp_path):
     table, partials = filled
     cutoff = dt.date(2024, 1, 3)

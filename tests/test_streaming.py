@@ -83,10 +83,10 @@ def test_crash_between_two_tables_loses_and_repeats_nothing(spark, tmp_path, mon
     path = topic(spark, tmp_path / "topic", 4)
     out, write = targets(tmp_path), PathTable.replace_batch
 
-    def failing(self, frame, batch_id):
+    def failing(self, frame, batch_id, rebalance=False):
         if self.layout is PARTIALS and batch_id == 2:
             raise RuntimeError("lost")
-        write(self, frame, batch_id)
+        write(self, frame, batch_id, rebalance)
 
     monkeypatch.setattr(PathTable, "replace_batch", failing)
     query = start_ingest(file_messages(spark, path, 1), out, str(tmp_path / "cp"), NOW)
@@ -188,8 +188,11 @@ def test_console_sink_and_timed_trigger(spark, tmp_path):
 def windowed(spark, tmp_path, source, mode):
     target = PathTable(str(tmp_path / mode), PARTIALS)
     windows.start_windowed(
-        enriched_stream(source), target, str(tmp_path / f"cp-{mode}"), NOW, output_mode=mode
+        enriched_stream(source), target, str(tmp_path / f"cp-{mode}"), NOW, output_mode=mode,
+        state_partitions=3,
     ).awaitTermination()
+    assert len(list((tmp_path / f"cp-{mode}" / "state" / "0").glob("[0-9]*"))) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     return windows.latest_windows(target.read(spark))
 
 
