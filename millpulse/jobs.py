@@ -46,7 +46,8 @@ METRIC_REPORTS = {"high_fault_windows": reports.high_fault_windows}
 def _tables(args) -> IngestTargets:
     def table(name, folder, layout):
         if args.database:
-            return CatalogTable(f"{args.database}.{name}", layout, args.versioned)
+            branch = getattr(args, "branch", None)
+            return CatalogTable(f"{args.database}.{name}", layout, args.versioned, branch)
         return PathTable(f"{args.root.rstrip('/')}/{folder}", layout)
 
     return IngestTargets(
@@ -126,8 +127,13 @@ def report(spark: SparkSession, args) -> None:
         source = merged_window_metrics(tables.partials.read(spark))
         result = METRIC_REPORTS[args.name](source)
     else:
-        source = tables.readings.read(spark).drop("batch_id")
-        result = READING_REPORTS[args.name](in_time_range(source, args.start, args.end))
+        if args.start and args.end:
+            until = args.end.date() + dt.timedelta(days=1)
+            source = tables.readings.read_days(spark, args.start.date(), until)
+        else:
+            source = tables.readings.read(spark)
+        source = in_time_range(source.drop("batch_id"), args.start, args.end)
+        result = READING_REPORTS[args.name](source)
     if args.output:
         result.write.mode("overwrite").parquet(args.output)
     else:
@@ -136,9 +142,14 @@ def report(spark: SparkSession, args) -> None:
 
 def compact(spark: SparkSession, args) -> None:
     tables, root = _tables(args), args.compacted.rstrip("/")
-    since = args.since
-    compaction.compact_readings(tables.readings.read(spark), f"{root}/readings", args.before, since)
-    compaction.compact_partials(tables.partials.read(spark), f"{root}/partials", args.before, since)
+
+    def live(table):
+        if args.since is None:
+            return table.read(spark)
+        return table.read_days(spark, args.since, args.before)
+
+    compaction.compact_readings(live(tables.readings), f"{root}/readings", args.before, args.since)
+    compaction.compact_partials(live(tables.partials), f"{root}/partials", args.before, args.since)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -192,6 +203,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--rejects", help="folder for rows that could not be read")
 
     sub = command(report, stored)
+    sub.add_argument("--branch", help="branch or tag of a versioned catalog")
     sub.add_argument("name", choices=[*READING_REPORTS, *METRIC_REPORTS])
     sub.add_argument("--start", type=dt.datetime.fromisoformat)
     sub.add_argument("--end", type=dt.datetime.fromisoformat)

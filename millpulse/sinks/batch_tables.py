@@ -7,6 +7,7 @@ partitions, and replaces what its first attempt left behind.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millpulse.schemas import METRIC_PARTIAL, QUARANTINE, READING, with_batch_id
+from millpulse.sources.tables import read_table
+
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -71,18 +75,31 @@ class PathTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(with_batch_id(self.layout.schema)).parquet(self.root)
 
+    def read_days(self, spark: SparkSession, since: dt.date, until: dt.date) -> DataFrame:
+        """Rows of the days in [since, until), and those without a day.
+
+        Only the folders of these days are listed. A table that is written every
+        few seconds has thousands of folders a day, and listing all of them to
+        read a few takes longer than reading.
+        """
+        days = [str(since + dt.timedelta(days=i)) for i in range((until - since).days)]
+        folders = f"{self.root}/{self.layout.day}={{{','.join([*days, _NO_DAY])}}}"
+        schema = with_batch_id(self.layout.schema)
+        return spark.read.schema(schema).option("basePath", self.root).parquet(folders)
+
 
 @dataclass(frozen=True)
 class CatalogTable:
     """A catalog table made by ``ddl.create_tables``.
 
     ``versioned`` tables (a catalog with snapshots) replace their partitions in
-    one atomic commit.
+    one atomic commit, and can be read at a ``branch``.
     """
 
     name: str
     layout: TableLayout
     versioned: bool = False
+    branch: str | None = None
 
     def replace_batch(self, rows: DataFrame, batch_id: int, rebalance: bool = False) -> None:
         stored = _stored(rows, self.layout, batch_id, rebalance)
@@ -97,7 +114,14 @@ class CatalogTable:
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.table(self.name).select(*with_batch_id(self.layout.schema).names)
+        columns = with_batch_id(self.layout.schema).names
+        return read_table(spark, self.name, self.branch).select(*columns)
+
+    def read_days(self, spark: SparkSession, since: dt.date, until: dt.date) -> DataFrame:
+        """Rows of the days in [since, until), and those without a day; pruned by the catalog."""
+        day = F.col(self.layout.day)
+        within = (day >= F.lit(since)) & (day < F.lit(until))
+        return self.read(spark).filter(within | day.isNull())
 
 
 BatchTable = PathTable | CatalogTable

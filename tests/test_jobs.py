@@ -35,6 +35,9 @@ def test_from_csv_to_reports(spark, csv, tmp_path, capsys):
     main(["compact", "--root", root, "--compacted", str(tmp_path / "closed"), "--before", "2024-01-02"],
          spark)
     assert spark.read.parquet(str(tmp_path / "closed" / "readings")).count() == 24
+    main(["compact", "--root", root, "--compacted", str(tmp_path / "closed"), "--since", "2024-01-01",
+          "--before", "2024-01-02"], spark)
+    assert spark.read.parquet(str(tmp_path / "closed" / "partials")).count() == 24
 
 
 def test_tables_in_a_database(spark, csv, tmp_path):

@@ -62,6 +62,19 @@ def test_rows_without_a_time_are_kept(spark, tmp_path):
     assert table.read(spark).filter("date is null").count() == 1
 
 
+def test_reading_some_days_lists_only_their_folders(spark, filled, database):
+    catalog = CatalogTable(f"{database}.{ddl.READING_BATCHES}", READINGS)
+    since, until = dt.date(2024, 1, 2), dt.date(2024, 1, 20)
+    undated = enrich(spark.createDataFrame([("garbage", "m", *[None] * 6)], EVENT))
+    for table in (filled[0], catalog):
+        table.replace_batch(readings(spark).unionByName(undated), 9)
+        found = table.read_days(spark, since, until)
+        want = table.read(spark).filter("date is null or date >= '2024-01-02'")
+        same_rows(found.select(*READING.names, "batch_id"), want.select(*READING.names, "batch_id"))
+    listed = filled[0].read_days(spark, since, until).inputFiles()
+    assert listed and not any("2024-01-01" in f for f in listed)
+
+
 def test_writing_a_batch_does_not_shuffle(spark, tmp_path):
     from millpulse.sinks.batch_tables import _stored
 
