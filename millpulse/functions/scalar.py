@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,9 +22,17 @@ def parse_timestamp(text: Column, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(text, F.lit(fmt))
 
 
-def iso_text(instant: Column) -> Column:
+def instant(value: dt.datetime) -> Column:
+    """A timestamp constant; without an offset of its own it is in session time.
+
+    ``lit(datetime)`` would read it in the local time of the Python process.
+    """
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp")
+
+
+def iso_text(moment: Column) -> Column:
     """ISO-8601 text; the fraction appears (six digits) only when there is one."""
-    text = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return F.replace(text, F.lit(".000000"), F.lit(""))
 
 
@@ -51,14 +61,14 @@ def fault_display(flag: Column) -> Column:
     return F.when(flag, "FAULT").otherwise("OK")
 
 
-def bucket_start(instant: Column, minutes: int = WINDOW_MINUTES) -> Column:
-    """Start of the tumbling bucket that holds ``instant``.
+def bucket_start(moment: Column, minutes: int = WINDOW_MINUTES) -> Column:
+    """Start of the tumbling bucket that holds ``moment``.
 
     Integer arithmetic on the epoch, so neither a daylight-saving overlap nor a
     time before 1970 moves a row to another bucket.
     """
     width = minutes * 60 * 1_000_000
-    micros = F.unix_micros(instant)
+    micros = F.unix_micros(moment)
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(width)))
 
 

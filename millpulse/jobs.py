@@ -123,17 +123,19 @@ def publish(spark: SparkSession, args) -> None:
 
 def report(spark: SparkSession, args) -> None:
     tables = _tables(args)
-    if args.name in METRIC_REPORTS:
-        source = merged_window_metrics(tables.partials.read(spark))
-        result = METRIC_REPORTS[args.name](source)
+    of_metrics = args.name in METRIC_REPORTS
+    table = tables.partials if of_metrics else tables.readings
+    if args.start and args.end:
+        until = args.end.date() + dt.timedelta(days=1)
+        rows = table.read_days(spark, args.start.date(), until)
     else:
-        if args.start and args.end:
-            until = args.end.date() + dt.timedelta(days=1)
-            source = tables.readings.read_days(spark, args.start.date(), until)
-        else:
-            source = tables.readings.read(spark)
-        source = in_time_range(source.drop("batch_id"), args.start, args.end)
-        result = READING_REPORTS[args.name](source)
+        rows = table.read(spark)
+    if of_metrics:
+        rows = in_time_range(rows, args.start, args.end, "window_start", "window_date")
+        result = METRIC_REPORTS[args.name](merged_window_metrics(rows))
+    else:
+        rows = in_time_range(rows.drop("batch_id"), args.start, args.end)
+        result = READING_REPORTS[args.name](rows)
     if args.output:
         result.write.mode("overwrite").parquet(args.output)
     else:

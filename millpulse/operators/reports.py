@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millpulse.functions import scalar as S
+
 # Limits used by the reports.
 RISK_VIBRATION_MMS = 8.0
 RISK_PRESSURE_BAR = 2.5
@@ -132,7 +134,7 @@ def daily_temperature_stats(
         )
         since = latest.scalar()
     else:
-        since = F.lit(as_of - dt.timedelta(days=days))
+        since = S.instant(as_of - dt.timedelta(days=days))
     recent = readings.filter(
         (F.col("event_time") >= since) & (F.col("date") >= F.to_date(since))
     )

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millpulse.functions import scalar as S
+
 
 def branch_query(name: str, branch: str) -> str:
     quoted = branch.replace("'", "''")
@@ -26,22 +28,22 @@ def read_table(spark: SparkSession, name: str, branch: str | None = None) -> Dat
 
 
 def in_time_range(
-    readings: DataFrame,
+    rows: DataFrame,
     start: dt.datetime | None = None,
     end: dt.datetime | None = None,
+    time: str = "event_time",
+    day: str = "date",
 ) -> DataFrame:
-    """Rows with ``start <= event_time < end``.
+    """Rows with ``start <= time < end``.
 
-    Spark does not derive a condition on the partition column from one on
-    ``event_time``, so ``date`` is bounded as well: whole days are pruned
-    before any file is opened.
+    Spark does not derive a condition on the partition column ``day`` from one
+    on ``time``, so both are bounded: whole days are pruned before any file is
+    opened.
     """
     if start is not None:
-        readings = readings.filter(
-            (F.col("event_time") >= F.lit(start)) & (F.col("date") >= F.lit(start.date()))
-        )
+        since = S.instant(start)
+        rows = rows.filter((F.col(time) >= since) & (F.col(day) >= F.to_date(since)))
     if end is not None:
-        readings = readings.filter(
-            (F.col("event_time") < F.lit(end)) & (F.col("date") <= F.lit(end.date()))
-        )
-    return readings
+        until = S.instant(end)
+        rows = rows.filter((F.col(time) < until) & (F.col(day) <= F.to_date(until)))
+    return rows

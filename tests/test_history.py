@@ -56,7 +56,8 @@ def test_changed_to_unknown_is_a_change_not_a_removal(spark):
 def test_both_snapshots_are_shuffled_once(spark, tmp_path):
     for name, shift in (("old", 0), ("new", 1)):
         spark.range(1000).select(
-            F.col("id").alias("k"), (F.col("id") % 10 + F.when(F.col("id") < 9, shift).otherwise(0)).alias("a")
+            F.col("id").alias("k"),
+            (F.col("id") % 10 + F.when(F.col("id") < 9, shift).otherwise(0)).alias("a"),
         ).write.parquet(str(tmp_path / name))
     result = snapshot_diff(
         spark.read.parquet(str(tmp_path / "old")), spark.read.parquet(str(tmp_path / "new")), ["k"], ["a"]

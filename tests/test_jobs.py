@@ -29,6 +29,8 @@ def test_from_csv_to_reports(spark, csv, tmp_path, capsys):
     assert report("hourly_patterns", "--start", "2024-01-01T06:00:00",
                   "--end", "2024-01-01T08:00:00").count() == 2
     assert report("high_fault_windows").count() == 12
+    assert report("high_fault_windows", "--start", "2024-01-01T06:00:00",
+                  "--end", "2024-01-01T10:00:00").count() == 2
     assert report("profile").count() > 5
     main(["report", "fault_by_machine", "--root", root], spark)
     assert "fault_percentage" in capsys.readouterr().out

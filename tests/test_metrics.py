@@ -90,7 +90,8 @@ def test_metrics_equal_brute_force(spark):
 @pytest.mark.parametrize("parts", [1, 3, 7])
 def test_parts_merge_to_the_direct_result(spark, parts):
     rows = random_rows(1500, seed=parts)
-    frame = readings(spark, rows).withColumn("batch", F.pmod(F.hash("temperature_c", "event_time"), F.lit(parts)))
+    batch = F.pmod(F.hash("temperature_c", "event_time"), F.lit(parts))
+    frame = readings(spark, rows).withColumn("batch", batch)
     partials = metric_partials(frame, "15 minutes", "batch")
     assert_same(by_key(merged_window_metrics(partials)), brute_force(rows))
 

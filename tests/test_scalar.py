@@ -80,3 +80,10 @@ def test_iso_text_equals_isoformat(spark, instant):
 def test_fault_display(spark):
     shown = [one(spark, S.fault_display(S.is_fault(F.lit(v).cast("int")))) for v in (2, 0, None)]
     assert shown == ["FAULT", "OK", "OK"]
+
+
+def test_instant_is_in_session_time_unless_it_says_otherwise(spark):
+    naive = dt.datetime(2024, 1, 2, 3, 4, 5, 600)
+    shifted = naive.replace(tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    assert one(spark, as_text(S.instant(naive))) == "2024-01-02 03:04:05.000600"
+    assert one(spark, as_text(S.instant(shifted))) == "2024-01-02 01:04:05.000600"
