@@ -246,18 +246,19 @@ def _open_pieces(table, names, wanted, accuracy, in_memory):
         pieces.setdefault(piece, []).append(rank - piece.below)
     if not pieces:
         return {}, {}
-    columns = []
+    columns, results = [], []
     for j, (piece, places) in enumerate(pieces.items()):
-        inside = piece.inside(_number(names[piece.column]))
+        inside, result = piece.inside(_number(names[piece.column])), F.col(f"v{j}")
         if piece.size <= in_memory:
             # Counted before: the list cannot grow past the limit.
-            ordered = F.sort_array(F.collect_list(inside))
-            column = F.transform(F.array(*map(F.lit, places)), lambda at: F.get(ordered, at))
+            column = F.sort_array(F.collect_list(inside))
+            result = F.array(*[F.get(result, F.lit(at)) for at in places])
         else:
             shares = [at / (piece.size - 1) + d for at in places for d in _offsets(accuracy)]
             column = F.percentile_approx(inside, [min(max(s, 0.0), 1.0) for s in shares], accuracy)
         columns.append(column.alias(f"v{j}"))
-    result = table.agg(*columns).first()
+        results.append(result.alias(f"v{j}"))
+    result = table.agg(*columns).select(*results).first()
 
     looked_up, cuts = {}, {}
     for j, (piece, places) in enumerate(pieces.items()):
