@@ -7,7 +7,8 @@ and anything the caller or the cluster already set can be overridden through
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the duration of a block."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def versioned_catalog_conf(
     catalog: str,
     uri: str,

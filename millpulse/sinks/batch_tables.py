@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millpulse.schemas import METRIC_PARTIAL, QUARANTINE, READING, with_batch_id
+from millpulse.session import setting
 from millpulse.sources.tables import read_table
 
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -109,9 +110,10 @@ class CatalogTable:
         # insertInto matches by position, partition columns last.
         last = (self.layout.day, "batch_id")
         ordered = stored.select(*[c for c in stored.columns if c not in last], *last)
-        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(
-            self.name
-        )
+        # insertInto knows the overwrite mode from the session only: in the
+        # default (static) mode it would empty the whole table.
+        with setting(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            ordered.write.mode("overwrite").insertInto(self.name)
 
     def read(self, spark: SparkSession) -> DataFrame:
         columns = with_batch_id(self.layout.schema).names

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millpulse.operators.metrics import GROUP, WINDOW_LENGTH, finish, metric_partials
+from millpulse.session import setting
 from millpulse.sinks.batch_tables import BatchTable
 
 LATE_BOUND = "10 minutes"
@@ -60,13 +61,8 @@ def start_windowed(
     if state_partitions is None:
         return writer.start()
     # A query takes a copy of the session settings when it starts.
-    settings, key = readings.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = settings.get(key)
-    settings.set(key, state_partitions)
-    try:
+    with setting(readings.sparkSession, "spark.sql.shuffle.partitions", str(state_partitions)):
         return writer.start()
-    finally:
-        settings.set(key, before)
 
 
 def latest_windows(states: DataFrame) -> DataFrame:

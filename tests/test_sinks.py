@@ -155,8 +155,13 @@ def fill(spark, database):
         partials.replace_batch(with_day(metric_partials(part)), batch if batch < 3 else 1)
 
 
-def test_catalog_tables_replace_batches(spark, database):
-    fill(spark, database)
+@pytest.mark.parametrize("session_mode", ["static", "dynamic"])
+def test_catalog_tables_replace_batches(spark, database, session_mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", session_mode)
+    try:
+        fill(spark, database)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     same_rows(spark.table(f"{database}.sensor_readings"), readings(spark))
     same_rows(spark.table(f"{database}.sensor_metrics"), window_metrics(readings(spark)))
     pruned = in_time_range(read_table(spark, f"{database}.sensor_readings"), dt.datetime(2024, 1, 3))
