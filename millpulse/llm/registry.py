@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from millpulse.llm import line_dedup, simhash_dedup
+from millpulse.llm import (
+    byte_cnn,
+    chat_collapse,
+    lexical_packing,
+    line_dedup,
+    pii_labels,
+    quality_rules,
+    simhash_dedup,
+    soft_mixing,
+    vector_tree,
+    warc_fixity,
+)
 
-_MODULES = (line_dedup, simhash_dedup)
+_MODULES = (
+    line_dedup, warc_fixity, quality_rules, lexical_packing, soft_mixing, vector_tree, pii_labels, simhash_dedup,
+    byte_cnn, chat_collapse,
+)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
