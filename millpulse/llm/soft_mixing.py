@@ -3,10 +3,11 @@
 A naive Bayes classifier, counted on the labelled table, gives every document a
 posterior over domains (high and low quality, toxic). Rates r >= 0 minimise
 
-    (E - T)' G^-1 (E - T),   E_d = sum of r * tokens * p_d,   G = sum of tokens * p p'
+    (E - T)' inverse(G) (E - T),   E_d = sum of r * tokens * p_d,   G = sum of tokens * p p'
 
-by projected gradient steps of length one (the largest that is safe: with G as
-metric the curvature is at most one, so few steps do). A step needs the residuals of the domains only, so
+by projected gradient steps of length one. G is the metric of the steps, taken over
+the documents whose rate is not zero; if such a step does not help, it is made
+with the G of all documents, with which it always does. A step needs the residuals of the domains only, so
 the rate of a document is a fold over the list of past residuals and its own
 posterior: nothing is stored per document, and a lost task is simply run again.
 Every iteration is one aggregate. Documents of equal posteriors move together
@@ -173,34 +174,45 @@ def fit_rates(
         "mix-classes",
     )
     p = [F.col(f"p{d}") for d in domains]
-    gram = classes.agg(
-        *(F.coalesce(F.sum(F.col("t") * p[a] * p[b]), F.lit(0.0)) for a in domains for b in domains),
-        *(F.coalesce(F.sum(F.col("t") * p[a]), F.lit(0.0)) for a in domains),
-    ).first()
     size = len(posteriors)
-    g = [[gram[a * size + b] for b in domains] for a in domains]
-    have = [gram[size * size + a] for a in domains]
-    share = [t / sum(targets) for t in targets]
-    if whole is not None and share[whole] > 0:
-        total = 1.02 * have[whole] / share[whole]
-    total = sum(have) if total is None else total
-    wanted = [s * total for s in share]
-    inverse = np.linalg.pinv(np.array(g), rcond=1e-9, hermitian=True)  # domains x domains
+
+    def measure(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens, and the Gram matrix of what has a rate above zero."""
+        rated = classes.select("t", *p, rate_column(p, steps).alias("r"))
+        live = F.when(F.col("r") > 0, F.col("t"))
+        row = rated.agg(
+            *(F.coalesce(F.sum(F.col("r") * F.col("t") * p[a]), F.lit(0.0)) for a in domains),
+            *(F.coalesce(F.sum(live * p[a] * p[b]), F.lit(0.0)) for a in domains for b in domains),
+        ).first()
+        return np.array(row[:size]), np.array(row[size:]).reshape(size, size)
+
+    def inverse(gram: np.ndarray) -> np.ndarray:
+        return np.linalg.pinv(gram, rcond=1e-9, hermitian=True)  # domains x domains
+
     pulls: list[list[float]] = []
-    expected = have
+    expected, gram = measure(pulls)
+    share = np.array(targets) / sum(targets)
+    if whole is not None and share[whole] > 0:
+        total = 1.02 * expected[whole] / share[whole]
+    total = expected.sum() if total is None else total
+    wanted = share * total
+    fixed = inverse(gram)
+    metric, gap = fixed, expected - wanted
     for _ in range(max_steps):
-        gap = [expected[d] - wanted[d] for d in domains]
-        if max(map(abs, gap)) <= tolerance * max(1.0, total):
+        if np.abs(gap).max() <= tolerance * max(1.0, total):
             break
-        pulls.append((inverse @ gap).tolist())
-        rate = rate_column(p, pulls)
-        row = classes.select("t", *p, rate.alias("r")).agg(
-            *(F.coalesce(F.sum(F.col("r") * F.col("t") * p[d]), F.lit(0.0)) for d in domains)
-        ).first()
-        before, expected = expected, [row[d] for d in domains]
-        if max(abs(a - b) for a, b in zip(before, expected)) <= tolerance / 10 * max(1.0, total):
+        tried = [*pulls, (metric @ gap).tolist()]
+        expected, gram = measure(tried)
+        new = expected - wanted
+        gain = gap @ fixed @ gap - new @ fixed @ new
+        if gain <= 0 and metric is not fixed:
+            metric = fixed  # the step was too long: again with the metric that is always safe
+            continue
+        pulls, gap = tried, new
+        if gain <= tolerance**2 * max(1.0, total):
             break  # as near as rates of zero and more can come
-    return pulls, expected, wanted
+        metric = inverse(gram)
+    return pulls, (gap + wanted).tolist(), wanted.tolist()
 
 
 def mix(
