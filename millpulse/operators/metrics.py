@@ -55,35 +55,47 @@ def metric_partials(readings: DataFrame, length: str = WINDOW_LENGTH, *keys: str
     )
 
 
-def merge_partials(partials: DataFrame) -> DataFrame:
-    """One row of parts per (window, machine), however many there were."""
+def _merge_rule(part: str) -> str:
+    """The aggregate that merges a part across micro-batches."""
+    if part.endswith("_max") or part == "processing_time":
+        return "max"
+    return "min" if part.endswith("_min") else "sum"
+
+
+def _mean(measure: str) -> str:
+    return f"CASE WHEN {measure}_count > 0 THEN {measure}_sum / {measure}_count END"
+
+
+# Metric column -> expression over merged parts, for DataFrames and views alike.
+_FINAL = {
+    "avg_temperature": _mean("temperature"),
+    "max_temperature": "temperature_max",
+    "min_temperature": "temperature_min",
+    "avg_vibration": _mean("vibration"),
+    "max_vibration": "vibration_max",
+    "avg_pressure": _mean("pressure"),
+    "fault_percentage": "fault_count * 100.0D / total_readings",
+}
 
-    def merged(name: str) -> Column:
-        if name.endswith("_max") or name == "processing_time":
-            return F.max(name)
-        if name.endswith("_min"):
-            return F.min(name)
-        return F.sum(name)
 
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """One row of parts per (window, machine), however many there were."""
     names = [*_parts(), *(["processing_time"] if "processing_time" in partials.columns else [])]
-    return partials.groupBy(*GROUP).agg(*[merged(name).alias(name) for name in names])
+    merged = [F.expr(f"{_merge_rule(name)}({name})").alias(name) for name in names]
+    return partials.groupBy(*GROUP).agg(*merged)
 
 
 def finish(partials: DataFrame) -> DataFrame:
     """Parts, one row per (window, machine), to the metric columns. No shuffle."""
-    columns = {
-        "avg_temperature": S.mean_of(F.col("temperature_sum"), F.col("temperature_count")),
-        "max_temperature": F.col("temperature_max"),
-        "min_temperature": F.col("temperature_min"),
-        "avg_vibration": S.mean_of(F.col("vibration_sum"), F.col("vibration_count")),
-        "max_vibration": F.col("vibration_max"),
-        "avg_pressure": S.mean_of(F.col("pressure_sum"), F.col("pressure_count")),
-        "fault_percentage": S.percentage(F.col("fault_count"), F.col("total_readings")),
-    }
-    present = [n for n in METRIC.names if n in columns or n in partials.columns]
-    return partials.select(
-        *[columns[n].alias(n) if n in columns else F.col(n) for n in present]
-    )
+    present = [n for n in METRIC.names if n in _FINAL or n in partials.columns]
+    return partials.select(*[F.expr(_FINAL.get(n, n)).alias(n) for n in present])
+
+
+def merge_sql(source: str) -> str:
+    """``finish(merge_partials(...))`` of a stored table as SQL text, for views."""
+    parts = ", ".join(f"{_merge_rule(n)}({n}) AS {n}" for n in [*_parts(), "processing_time"])
+    merged = f"SELECT {', '.join(GROUP)}, {parts} FROM {source} GROUP BY {', '.join(GROUP)}"
+    return f"SELECT {', '.join(f'{_FINAL.get(n, n)} AS {n}' for n in METRIC.names)} FROM ({merged})"
 
 
 def window_metrics(readings: DataFrame, length: str = WINDOW_LENGTH) -> DataFrame:

@@ -130,6 +130,10 @@ QUARANTINE = _struct(
 )
 
 
-def with_batch_id(schema: T.StructType) -> T.StructType:
+# Who wrote a row: the stream (its checkpoint's id) and the micro-batch.
+BATCH_KEY = ("stream_id", "batch_id")
+
+
+def with_batch_key(schema: T.StructType) -> T.StructType:
     """The stored form of a table that is written one micro-batch at a time."""
-    return T.StructType(schema.fields + [T.StructField("batch_id", T.LongType(), True)])
+    return T.StructType(schema.fields + _struct(("stream_id", "string"), ("batch_id", "bigint")).fields)

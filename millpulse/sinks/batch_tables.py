@@ -1,8 +1,10 @@
 """Tables written one micro-batch at a time, safe to replay.
 
-Every row carries the id of its micro-batch in a partition column. A batch
-that is run again after a failure has the same rows, hence the same
-partitions, and replaces what its first attempt left behind.
+Every row carries the id of its stream and of its micro-batch in partition
+columns. A batch that is run again after a failure has the same rows, hence the
+same partitions, and replaces what its first attempt left behind. Batches of
+other streams, and of the same stream under a new checkpoint, have another
+stream id and are never touched.
 """
 
 from __future__ import annotations
@@ -10,11 +12,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millpulse.schemas import METRIC_PARTIAL, QUARANTINE, READING, with_batch_id
+from millpulse.schemas import BATCH_KEY, METRIC_PARTIAL, QUARANTINE, READING, with_batch_key
 from millpulse.session import setting
 from millpulse.sources.tables import read_table
 
@@ -35,7 +38,15 @@ PARTIALS = TableLayout(METRIC_PARTIAL, "window_date", ("machine_id", "window_sta
 QUARANTINED = TableLayout(QUARANTINE, "quarantine_date", ("reason",))
 
 
-def _stored(rows: DataFrame, layout: TableLayout, batch_id: int, rebalance: bool) -> DataFrame:
+@dataclass(frozen=True)
+class BatchId:
+    """A micro-batch: the durable id of its stream, and its number there."""
+
+    stream: str
+    number: int
+
+
+def _stored(rows: DataFrame, layout: TableLayout, batch: BatchId, rebalance: bool) -> DataFrame:
     """Rows in table column order, sorted the way the partitioned writer needs.
 
     The sort stays inside each task. Sorting by machine within the day gives
@@ -49,44 +60,72 @@ def _stored(rows: DataFrame, layout: TableLayout, batch_id: int, rebalance: bool
     """
     if rebalance:
         rows = rows.hint("rebalance", F.col(layout.day))
-    batch = F.lit(batch_id).cast("bigint").alias("batch_id")
-    return rows.select(*layout.schema.names, batch).sortWithinPartitions(
-        layout.day, "batch_id", *layout.cluster
-    )
+    return rows.select(
+        *layout.schema.names,
+        F.lit(batch.stream).alias("stream_id"),
+        F.lit(batch.number).cast("bigint").alias("batch_id"),
+    ).sortWithinPartitions(layout.day, *layout.cluster)
 
 
 @dataclass(frozen=True)
 class PathTable:
-    """Partitioned parquet files under one root folder."""
+    """Partitioned parquet files under one root folder: by day, stream and batch."""
 
     root: str
     layout: TableLayout
     compression: str = "snappy"
 
-    def replace_batch(self, rows: DataFrame, batch_id: int, rebalance: bool = False) -> None:
+    #: Longest range of days whose folders are named one by one.
+    LISTED_DAYS = 100
+
+    def replace_batch(self, rows: DataFrame, batch: BatchId, rebalance: bool = False) -> None:
         (
-            _stored(rows, self.layout, batch_id, rebalance)
+            _stored(rows, self.layout, batch, rebalance)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", self.compression)
-            .partitionBy(self.layout.day, "batch_id")
+            .partitionBy(self.layout.day, *BATCH_KEY)
             .parquet(self.root)
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(with_batch_id(self.layout.schema)).parquet(self.root)
+        return spark.read.schema(with_batch_key(self.layout.schema)).parquet(self.root)
 
     def read_days(self, spark: SparkSession, since: dt.date, until: dt.date) -> DataFrame:
-        """Rows of the days in [since, until), and those without a day.
+        """Rows of the days in [since, until), and those without a day; none if
+        nothing is stored there.
 
         Only the folders of these days are listed. A table that is written every
         few seconds has thousands of folders a day, and listing all of them to
-        read a few takes longer than reading.
+        read a few takes longer than reading. Of a long range the whole table is
+        listed, and days outside of it are pruned.
         """
+        schema = with_batch_key(self.layout.schema)
+        if (until - since).days > self.LISTED_DAYS:
+            return _within(self.read(spark), self.layout.day, since, until)
         days = [str(since + dt.timedelta(days=i)) for i in range((until - since).days)]
         folders = f"{self.root}/{self.layout.day}={{{','.join([*days, _NO_DAY])}}}"
-        schema = with_batch_id(self.layout.schema)
-        return spark.read.schema(schema).option("basePath", self.root).parquet(folders)
+        try:
+            return spark.read.schema(schema).option("basePath", self.root).parquet(folders)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            folders_last = (self.layout.day, *BATCH_KEY)
+            names = [c for c in schema.names if c not in folders_last]
+            return spark.createDataFrame([], schema).select(*names, *folders_last)
+
+    def drop_batches(self, spark: SparkSession, batches: list[tuple[dt.date, str, int]]) -> None:
+        """Delete the folders of the given (day, stream, batch)."""
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for day, stream, number in batches:
+            folder = f"{self.root}/{self.layout.day}={day}/stream_id={stream}/batch_id={number}"
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def _within(rows: DataFrame, day_column: str, since: dt.date, until: dt.date) -> DataFrame:
+    day = F.col(day_column)
+    return rows.filter(((day >= F.lit(since)) & (day < F.lit(until))) | day.isNull())
 
 
 @dataclass(frozen=True)
@@ -102,28 +141,51 @@ class CatalogTable:
     versioned: bool = False
     branch: str | None = None
 
-    def replace_batch(self, rows: DataFrame, batch_id: int, rebalance: bool = False) -> None:
-        stored = _stored(rows, self.layout, batch_id, rebalance)
+    def replace_batch(self, rows: DataFrame, batch: BatchId, rebalance: bool = False) -> None:
+        stored = _stored(rows, self.layout, batch, rebalance)
         if self.versioned:
             stored.writeTo(self.name).overwritePartitions()
             return
-        # insertInto matches by position, partition columns last.
-        last = (self.layout.day, "batch_id")
-        ordered = stored.select(*[c for c in stored.columns if c not in last], *last)
-        # insertInto knows the overwrite mode from the session only: in the
-        # default (static) mode it would empty the whole table.
-        with setting(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            ordered.write.mode("overwrite").insertInto(self.name)
+        # Stream and batch are named in the statement: the catalog lists the
+        # partitions of this batch only, however many the table has.
+        columns = [c for c in self.layout.schema.names if c != self.layout.day]
+        target = f"stream_id = '{batch.stream}', batch_id = {batch.number}, {self.layout.day}"
+        # The overwrite mode is a matter of the session: in the default (static)
+        # mode the days of the batch would be emptied before they are written.
+        spark = rows.sparkSession
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {self.name} PARTITION ({target}) "
+                f"SELECT {', '.join(f'`{c}`' for c in [*columns, self.layout.day])} FROM {{rows}}",
+                rows=stored,
+            )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        columns = with_batch_id(self.layout.schema).names
+        columns = with_batch_key(self.layout.schema).names
         return read_table(spark, self.name, self.branch).select(*columns)
 
     def read_days(self, spark: SparkSession, since: dt.date, until: dt.date) -> DataFrame:
         """Rows of the days in [since, until), and those without a day; pruned by the catalog."""
-        day = F.col(self.layout.day)
-        within = (day >= F.lit(since)) & (day < F.lit(until))
-        return self.read(spark).filter(within | day.isNull())
+        return _within(self.read(spark), self.layout.day, since, until)
+
+    def drop_batches(self, spark: SparkSession, batches: list[tuple[dt.date, str, int]]) -> None:
+        """Delete the given (day, stream, batch)."""
+        day_column = self.layout.day
+        for day, stream, number in batches:
+            if self.versioned:
+                spark.sql(
+                    f"DELETE FROM {self.name} WHERE stream_id = '{stream}' AND batch_id = {number} "
+                    f"AND {day_column} = DATE '{day}'"
+                )
+                continue
+            where = f"stream_id = '{stream}', batch_id = {number}, {day_column} = DATE '{day}'"
+            location = spark.sql(f"DESCRIBE EXTENDED {self.name} PARTITION ({where})").filter(
+                "col_name = 'Location'"
+            ).first()["data_type"]
+            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({where})")
+            # Dropping a partition of an external table leaves its files.
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 BatchTable = PathTable | CatalogTable

@@ -1,75 +1,130 @@
 """Turning many small per-batch partitions into a few well-sized files.
 
-Closed days are rewritten into a second table, partitioned by day only. A
-reader takes days before the cutoff from there and later days from the live
-table, so it never sees a day twice or half. Compacting a day again (after
-late rows) recomputes it from the live table and replaces it.
+Closed days are rewritten into generations: folders of a second table, by day and
+generation. A list beside it names, for every day and generation, the batches
+that went in; it is written last, and a generation without it does not exist for
+readers. A reader takes the newest generation of each day and, from the live
+table, the batches that are not in it: late rows count as soon as they are stored,
+and none counts twice. Compacting a day again merges its newest generation with
+the live batches it lacks, so batches that are in may be retired (deleted).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millpulse.operators.metrics import finish, merge_partials
-from millpulse.sinks.batch_tables import PARTIALS, READINGS, TableLayout
+from millpulse.schemas import BATCH_KEY
+from millpulse.sinks.batch_tables import PARTIALS, BatchTable, TableLayout
 
+_GENERATION = T.StructField("generation", T.LongType())
 
-def _write_days(rows: DataFrame, layout: TableLayout, root: str) -> None:
-    # The rebalance hint shuffles by day and lets adaptive execution split a
-    # large day over several tasks and put small days together.
-    (
-        rows.hint("rebalance", F.col(layout.day))
-        .sortWithinPartitions(layout.day, *layout.cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(layout.day)
-        .parquet(root)
+
+def _read(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """The stored rows; none before the first compaction."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _contents(spark: SparkSession, layout: TableLayout, root: str) -> DataFrame:
+    """(day, stream_id, batch_id, generation) of the newest generation of each day."""
+    kind = layout.schema[layout.day]
+    schema = T.StructType(
+        [kind, T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType()), _GENERATION]
     )
+    listed = _read(spark, schema, f"{root}/contents")
+    newest = listed.groupBy(layout.day).agg(F.max("generation").alias("generation"))
+    return listed.join(newest, [layout.day, "generation"], "left_semi")
 
 
-def _closed(layout: TableLayout, cutoff: dt.date, since: dt.date | None) -> Column:
-    day = F.col(layout.day)
-    closed = day < F.lit(cutoff)
-    return closed if since is None else closed & (day >= F.lit(since))
+def _compacted(spark: SparkSession, layout: TableLayout, root: str) -> DataFrame:
+    schema = T.StructType([*layout.schema.fields, _GENERATION])
+    newest = _contents(spark, layout, root).select(layout.day, "generation").distinct()
+    rows = _read(spark, schema, f"{root}/days")
+    return rows.join(newest, [layout.day, "generation"], "left_semi").select(*layout.schema.names)
 
 
-def compact_readings(
-    live: DataFrame, root: str, cutoff: dt.date, since: dt.date | None = None
-) -> None:
-    """Rewrite the readings of the days in [since, cutoff) under ``root``."""
-    days = live.filter(_closed(READINGS, cutoff, since)).select(*READINGS.schema.names)
-    _write_days(days, READINGS, root)
+def _missing(live: DataFrame, layout: TableLayout, root: str) -> DataFrame:
+    """Live rows that no newest generation holds; rows without a day among them."""
+    included = _contents(live.sparkSession, layout, root).select(layout.day, *BATCH_KEY)
+    return live.join(included, [layout.day, *BATCH_KEY], "left_anti")
 
 
-def compact_partials(
-    live: DataFrame, root: str, cutoff: dt.date, since: dt.date | None = None
+def compact(
+    live: DataFrame, layout: TableLayout, root: str, cutoff: dt.date, since: dt.date | None = None
 ) -> None:
-    """Merge the metric parts of the days in [since, cutoff): one row per window and machine."""
-    merged = merge_partials(live.filter(_closed(PARTIALS, cutoff, since)))
-    days = merged.withColumn("window_date", F.to_date("window_start"))
-    _write_days(days.select(*PARTIALS.schema.names), PARTIALS, root)
+    """Bring the days in [since, cutoff) that have new batches into a new generation.
 
+    One compaction of a table runs at a time. Metric parts are merged to one row
+    per window and machine on the way.
+    """
+    spark, day = live.sparkSession, F.col(layout.day)
+    closed = day < F.lit(cutoff)
+    if since is not None:
+        closed = closed & (day >= F.lit(since))
+    new = _missing(live.filter(closed), layout, root)
+    batches = new.select(layout.day, *BATCH_KEY).distinct()
+    touched = batches.select(layout.day).distinct()
+    before = _contents(spark, layout, root)
+    number = (before.agg(F.max("generation")).first()[0] or 0) + 1
+    # The batches of a generation are fixed before its rows are read: a batch
+    # stored meanwhile stays live.
+    listed = before.drop("generation").join(touched, layout.day, "left_semi").unionByName(batches)
+    listed = listed.collect()  # a row per batch and day of the days that change
+    if not listed:
+        return
+    contents = spark.createDataFrame(listed, T.StructType(before.drop("generation").schema.fields))
+    days = contents.select(layout.day).distinct()
+    added = live.join(contents, [layout.day, *BATCH_KEY], "left_semi")
+    added = _missing(added, layout, root).select(*layout.schema.names)
+    rows = _compacted(spark, layout, root).join(days, layout.day, "left_semi").unionByName(added)
+    if layout is PARTIALS:
+        rows = merge_partials(rows).withColumn(layout.day, F.to_date("window_start"))
+    rows = rows.select(*layout.schema.names)
+    # The rebalance hint shuffles by day and lets adaptive execution split a
+    # large day over several tasks and put small days together.
+    (
+        rows.hint("rebalance", day)
+        .withColumn("generation", F.lit(number).cast("bigint"))
+        .sortWithinPartitions(layout.day, *layout.cluster)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy(layout.day, "generation")
+        .parquet(f"{root}/days")
+    )
+    contents.withColumn("generation", F.lit(number).cast("bigint")).coalesce(1).write.mode("append").parquet(
+        f"{root}/contents"
+    )
 
-def _compacted(spark: SparkSession, layout: TableLayout, root: str, cutoff: dt.date) -> DataFrame:
-    return spark.read.schema(layout.schema).parquet(root).filter(F.col(layout.day) < F.lit(cutoff))
 
+def read_rows(live: DataFrame, layout: TableLayout, root: str | None) -> DataFrame:
+    """All rows, compacted and live; metric parts still to be merged."""
+    if root is None:
+        return live.select(*layout.schema.names)
+    rows = _missing(live, layout, root).select(*layout.schema.names)
+    return _compacted(live.sparkSession, layout, root).unionByName(rows)
 
-def read_readings(live: DataFrame, root: str, cutoff: dt.date) -> DataFrame:
-    """All readings: compacted days before ``cutoff``, live ones from then on.
 
-    Readings without a day (their time could not be read) are never compacted.
-    """
-    day = F.col("date")
-    recent = live.filter((day >= F.lit(cutoff)) | day.isNull()).select(*READINGS.schema.names)
-    return _compacted(live.sparkSession, READINGS, root, cutoff).unionByName(recent)
+def read_metrics(live: DataFrame, root: str | None) -> DataFrame:
+    """Final metrics of all days, one row per window and machine."""
+    return finish(merge_partials(read_rows(live, PARTIALS, root)))
 
 
-def read_metrics(live: DataFrame, root: str, cutoff: dt.date) -> DataFrame:
-    """Final metrics of all days; only the live days are aggregated."""
-    recent = merge_partials(live.filter(F.col("window_date") >= F.lit(cutoff)))
-    closed = _compacted(live.sparkSession, PARTIALS, root, cutoff)
-    return finish(closed).unionByName(finish(recent))
+def retire(spark: SparkSession, table: BatchTable, root: str) -> int:
+    """Delete the live batches that are in the newest generation of their day."""
+    layout = table.layout
+    stored = table.read(spark).select(layout.day, *BATCH_KEY).distinct()
+    included = _contents(spark, layout, root).select(layout.day, *BATCH_KEY)
+    gone = stored.join(included, [layout.day, *BATCH_KEY], "left_semi").collect()
+    table.drop_batches(spark, [tuple(r) for r in gone])
+    return len(gone)

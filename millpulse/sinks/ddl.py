@@ -7,20 +7,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from millpulse.operators.metrics import merged_window_metrics
+from millpulse.operators.metrics import merge_sql, merged_window_metrics
 from millpulse.schemas import (
     AGGREGATE_V1,
-    METRIC,
+    BATCH_KEY,
     METRIC_PARTIAL,
     QUARANTINE,
     READING,
     READING_V1,
-    with_batch_id,
+    with_batch_key,
 )
 
 READING_BATCHES = "sensor_reading_batches"
 PARTIAL_BATCHES = "sensor_metric_batches"
 QUARANTINE_BATCHES = "sensor_quarantine_batches"
+WINDOW_STATES = "sensor_window_states"
 
 # Names under which reports find readings and metrics.
 READINGS_VIEW = "sensor_readings"
@@ -28,10 +29,13 @@ METRICS_VIEW = "sensor_metrics"
 READINGS_V1 = "sensor_readings_v1"
 AGGREGATES_V1 = "sensor_aggregates"
 
+# Stream and batch come first: an insert names both and lists no other partition.
 _STORED = {
-    READING_BATCHES: (with_batch_id(READING), ("date", "batch_id")),
-    PARTIAL_BATCHES: (with_batch_id(METRIC_PARTIAL), ("window_date", "batch_id")),
-    QUARANTINE_BATCHES: (with_batch_id(QUARANTINE), ("quarantine_date", "batch_id")),
+    READING_BATCHES: (with_batch_key(READING), (*BATCH_KEY, "date")),
+    PARTIAL_BATCHES: (with_batch_key(METRIC_PARTIAL), (*BATCH_KEY, "window_date")),
+    QUARANTINE_BATCHES: (with_batch_key(QUARANTINE), (*BATCH_KEY, "quarantine_date")),
+    # States of one window replace each other; merged like parts they would add up.
+    WINDOW_STATES: (with_batch_key(METRIC_PARTIAL), (*BATCH_KEY, "window_date")),
 }
 _OLDER = {
     READINGS_V1: (READING_V1, ("date",)),
@@ -109,34 +113,10 @@ def create_views(spark: SparkSession, database: str) -> None:
         f"SELECT {', '.join(f'`{c}`' for c in READING.names)} FROM {database}.{READING_BATCHES}"
     )
     spark.sql(
-        f"CREATE OR REPLACE VIEW {database}.{METRICS_VIEW} AS {_merge_sql(f'{database}.{PARTIAL_BATCHES}')}"
+        f"CREATE OR REPLACE VIEW {database}.{METRICS_VIEW} AS {merge_sql(f'{database}.{PARTIAL_BATCHES}')}"
     )
 
 
-def _merge_sql(source: str) -> str:
-    def mean(measure: str) -> str:
-        total, count = f"sum({measure}_sum)", f"sum({measure}_count)"
-        return f"CASE WHEN {count} > 0 THEN {total} / {count} END"
-
-    columns = {
-        "window_start": "window_start",
-        "window_end": "window_end",
-        "machine_id": "machine_id",
-        "avg_temperature": mean("temperature"),
-        "max_temperature": "max(temperature_max)",
-        "min_temperature": "min(temperature_min)",
-        "avg_vibration": mean("vibration"),
-        "max_vibration": "max(vibration_max)",
-        "avg_pressure": mean("pressure"),
-        "fault_count": "sum(fault_count)",
-        "total_readings": "sum(total_readings)",
-        "fault_percentage": "sum(fault_count) * 100.0D / sum(total_readings)",
-        "processing_time": "max(processing_time)",
-    }
-    selected = ", ".join(f"{columns[name]} AS {name}" for name in METRIC.names)
-    return f"SELECT {selected} FROM {source} GROUP BY window_start, window_end, machine_id"
-
-
 def register_views(readings: DataFrame, partials: DataFrame) -> None:
     """The same two views for this session only, over any stored tables."""
     readings.select(*READING.names).createOrReplaceTempView(READINGS_VIEW)

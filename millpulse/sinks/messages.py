@@ -24,16 +24,12 @@ def kafka_sink_options(
     return {"kafka.bootstrap.servers": servers, "topic": topic, **(options or {})}
 
 
-def publish_files(messages: DataFrame, path: str, min_files: int = 1) -> int:
-    """Write one message per line; returns the number of write tasks.
+def publish_files(messages: DataFrame, path: str, files: int | None = None) -> None:
+    """Write one message per line, one file per task, or as many as stated.
 
-    ``min_files`` spreads a small table over several files, so that a stream
-    over the folder has several steps. A table with more input splits than
-    that is written as it is read, without a shuffle.
+    A stated number costs a shuffle of the messages.
     """
     lines = messages.select("value")
-    tasks = lines.rdd.getNumPartitions()
-    if tasks < min_files:
-        lines, tasks = lines.repartition(min_files), min_files
+    if files is not None:
+        lines = lines.repartition(files)
     lines.write.mode("append").text(path)
-    return tasks

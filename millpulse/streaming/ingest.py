@@ -15,7 +15,7 @@ from pyspark.storagelevel import StorageLevel
 from millpulse.operators.enrich import enrich
 from millpulse.operators.metrics import WINDOW_LENGTH, metric_partials
 from millpulse.operators.parse import classify_messages, parse_messages
-from millpulse.sinks.batch_tables import BatchTable
+from millpulse.sinks.batch_tables import BatchId, BatchTable
 
 log = logging.getLogger(__name__)
 
@@ -49,6 +49,15 @@ def log_report(report: BatchReport) -> None:
     )
 
 
+def durable_stream_id(batch: DataFrame) -> str:
+    """The id that a checkpoint gives its query: the same after every restart,
+    another one under another checkpoint. Known inside ``foreachBatch`` only."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not stream:
+        raise RuntimeError("not inside a streaming query: state the stream id")
+    return stream
+
+
 def enriched_stream(messages: DataFrame) -> DataFrame:
     return enrich(parse_messages(messages))
 
@@ -62,6 +71,7 @@ def batch_writer(
     on_batch: Callable[[BatchReport], None] = log_report,
     length: str = WINDOW_LENGTH,
     backfill: bool = False,
+    stream_id: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch to all tables.
 
@@ -72,10 +82,12 @@ def batch_writer(
     again over whatever was left behind.
 
     ``backfill`` brings readings together by day before they are written, for
-    batches that hold many days at once.
+    batches that hold many days at once. ``stream_id`` names the writer in the
+    tables; by default the id of the checkpoint does.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        key = BatchId(stream_id or durable_stream_id(batch), batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid = batch
@@ -87,7 +99,7 @@ def batch_writer(
                 F.count("*").alias("readings"),
                 F.count("event_time").alias("timed"),
             )
-            targets.readings.replace_batch(counted, batch_id, rebalance=backfill)
+            targets.readings.replace_batch(counted, key, rebalance=backfill)
             readings, timed = seen.get["readings"], seen.get["timed"]
 
             # Without an event time there is no window, hence nothing to write.
@@ -95,14 +107,14 @@ def batch_writer(
                 partials = metric_partials(valid, length)
                 targets.partials.replace_batch(
                     partials.withColumn("window_date", F.to_date("window_start")),
-                    batch_id,
+                    key,
                     rebalance=True,
                 )
             if targets.quarantine is not None:
                 rejected = batch.filter(F.col("reason") != "valid").withColumn(
                     "quarantine_date", F.to_date("processing_time")
                 )
-                targets.quarantine.replace_batch(rejected, batch_id)
+                targets.quarantine.replace_batch(rejected, key)
             on_batch(BatchReport(batch_id, readings, timed))
         finally:
             batch.unpersist()
@@ -118,13 +130,16 @@ def start_ingest(
     on_batch: Callable[[BatchReport], None] = log_report,
     name: str | None = None,
     backfill: bool = False,
+    stream_id: str | None = None,
 ) -> StreamingQuery:
     """Parse, enrich and store a message stream. ``checkpoint`` must be durable."""
     stream = (
         enriched_stream(messages) if targets.quarantine is None else classified_stream(messages)
     )
     writer = (
-        stream.writeStream.foreachBatch(batch_writer(targets, on_batch, backfill=backfill))
+        stream.writeStream.foreachBatch(
+            batch_writer(targets, on_batch, backfill=backfill, stream_id=stream_id)
+        )
         .outputMode("append")
         .trigger(**(trigger or TABLE_TRIGGER))
         .option("checkpointLocation", checkpoint)

@@ -8,7 +8,14 @@ from millpulse.operators.enrich import enrich
 from millpulse.operators.metrics import merged_window_metrics, metric_partials, window_metrics
 from millpulse.schemas import EVENT, METRIC, READING, READING_V1
 from millpulse.sinks import compaction, ddl
-from millpulse.sinks.batch_tables import PARTIALS, READINGS, CatalogTable, PathTable, append_table
+from millpulse.sinks.batch_tables import (
+    PARTIALS,
+    READINGS,
+    BatchId,
+    CatalogTable,
+    PathTable,
+    append_table,
+)
 from millpulse.sources.tables import in_time_range, read_table
 
 DAYS = ("2024-01-01", "2024-01-02", "2024-01-03")
@@ -23,6 +30,10 @@ def readings(spark, n=90, offset=0):
     return enrich(spark.createDataFrame(rows, EVENT))
 
 
+def batch(number, stream="s"):
+    return BatchId(stream, number)
+
+
 def with_day(partials):
     return partials.withColumn("window_date", F.to_date("window_start"))
 
@@ -35,30 +46,30 @@ def same_rows(a, b):
 @pytest.fixture
 def filled(spark, tmp_path):
     live = PathTable(str(tmp_path / "readings"), READINGS), PathTable(str(tmp_path / "partials"), PARTIALS)
-    for batch, offset in enumerate((0, 30, 60)):
+    for number, offset in enumerate((0, 30, 60)):
         part = readings(spark, 30, offset)
-        live[0].replace_batch(part, batch)
-        live[1].replace_batch(with_day(metric_partials(part)), batch)
+        live[0].replace_batch(part, batch(number))
+        live[1].replace_batch(with_day(metric_partials(part)), batch(number))
     return live
 
 
 def test_replaying_a_batch_replaces_it(spark, filled):
     table, partials = filled
     for _ in range(2):
-        table.replace_batch(readings(spark, 30, 30), 1)
-        partials.replace_batch(with_day(metric_partials(readings(spark, 30, 30))), 1)
-    same_rows(table.read(spark).drop("batch_id"), readings(spark))
+        table.replace_batch(readings(spark, 30, 30), batch(1))
+        partials.replace_batch(with_day(metric_partials(readings(spark, 30, 30))), batch(1))
+    same_rows(table.read(spark).drop("stream_id", "batch_id"), readings(spark))
     same_rows(merged_window_metrics(partials.read(spark)), window_metrics(readings(spark)))
 
 
 def test_files_are_snappy_parquet_in_day_and_batch_folders(filled, tmp_path):
-    files = list((tmp_path / "readings").glob("date=2024-01-01/batch_id=0/*.snappy.parquet"))
+    files = list((tmp_path / "readings").glob("date=2024-01-01/stream_id=s/batch_id=0/*.snappy.parquet"))
     assert files and not list((tmp_path / "readings").glob("*.parquet"))
 
 
 def test_rows_without_a_time_are_kept(spark, tmp_path):
     table = PathTable(str(tmp_path / "t"), READINGS)
-    table.replace_batch(enrich(spark.createDataFrame([("garbage", "m", *[None] * 6)], EVENT)), 0)
+    table.replace_batch(enrich(spark.createDataFrame([("garbage", "m", *[None] * 6)], EVENT)), batch(0))
     assert table.read(spark).filter("date is null").count() == 1
 
 
@@ -67,7 +78,7 @@ def test_reading_some_days_lists_only_their_folders(spark, filled, database):
     since, until = dt.date(2024, 1, 2), dt.date(2024, 1, 20)
     undated = enrich(spark.createDataFrame([("garbage", "m", *[None] * 6)], EVENT))
     for table in (filled[0], catalog):
-        table.replace_batch(readings(spark).unionByName(undated), 9)
+        table.replace_batch(readings(spark).unionByName(undated), batch(9))
         found = table.read_days(spark, since, until)
         want = table.read(spark).filter("date is null or date >= '2024-01-02'")
         same_rows(found.select(*READING.names, "batch_id"), want.select(*READING.names, "batch_id"))
@@ -75,47 +86,109 @@ def test_reading_some_days_lists_only_their_folders(spark, filled, database):
     assert listed and not any("2024-01-01" in f for f in listed)
 
 
+def test_days_without_rows_and_long_ranges(spark, filled, tmp_path):
+    table = filled[0]
+    none = table.read_days(spark, dt.date(2023, 1, 1), dt.date(2023, 1, 9))
+    assert none.count() == 0 and none.schema.names == table.read(spark).schema.names
+    assert PathTable(str(tmp_path / "absent"), READINGS).read_days(
+        spark, dt.date(2024, 1, 1), dt.date(2024, 1, 2)).count() == 0
+    same_rows(table.read_days(spark, dt.date(2020, 1, 1), dt.date(2024, 1, 2)),
+              table.read(spark).filter("date < '2024-01-02'"))
+
+
+def test_streams_do_not_replace_each_other(spark, tmp_path, database):
+    """Batches of equal number from two checkpoints; a replay replaces its own only."""
+    for table in (PathTable(str(tmp_path / "t"), READINGS),
+                  CatalogTable(f"{database}.{ddl.READING_BATCHES}", READINGS)):
+        table.replace_batch(readings(spark, 60), batch(0, "a"))
+        table.replace_batch(readings(spark, 30, 60), batch(0, "b"))
+        table.replace_batch(readings(spark, 60), batch(0, "a"))
+        same_rows(table.read(spark).drop("stream_id", "batch_id"), readings(spark))
+
+
 def test_writing_a_batch_does_not_shuffle(spark, tmp_path):
     from millpulse.sinks.batch_tables import _stored
 
-    plan = _stored(readings(spark), READINGS, 0, False)._jdf.queryExecution().executedPlan().toString()
+    plan = _stored(readings(spark), READINGS, batch(0), False)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort [date" in plan
 
 
 def test_rebalanced_batch_has_one_small_file_per_day(spark, tmp_path):
     table = PathTable(str(tmp_path / "t"), READINGS)
-    table.replace_batch(readings(spark).repartition(6), 0, rebalance=True)
-    assert len(list((tmp_path / "t").glob("*/*/*.parquet"))) == len(DAYS)
-    same_rows(table.read(spark).drop("batch_id"), readings(spark))
+    table.replace_batch(readings(spark).repartition(6), batch(0), rebalance=True)
+    assert len(list((tmp_path / "t").glob("*/*/*/*.parquet"))) == len(DAYS)
+    same_rows(table.read(spark).drop("stream_id", "batch_id"), readings(spark))
 
 
 def test_compaction_changes_files_but_not_results(spark, filled, tmp_path):
     table, partials = filled
     cutoff = dt.date(2024, 1, 3)
     # A row without a time stays readable after compaction.
-    table.replace_batch(enrich(spark.createDataFrame([("garbage", "m", *[None] * 6)], EVENT)), 3)
+    table.replace_batch(enrich(spark.createDataFrame([("garbage", "m", *[None] * 6)], EVENT)), batch(3))
     closed, merged = str(tmp_path / "closed"), str(tmp_path / "merged")
-    before = table.read(spark).drop("batch_id")
+    before = table.read(spark).drop("stream_id", "batch_id")
     for _ in range(2):
-        compaction.compact_readings(table.read(spark), closed, cutoff)
-        compaction.compact_partials(partials.read(spark), merged, cutoff)
-    same_rows(compaction.read_readings(table.read(spark), closed, cutoff), before)
-    result = compaction.read_metrics(partials.read(spark), merged, cutoff)
+        compaction.compact(table.read(spark), READINGS, closed, cutoff)
+        compaction.compact(partials.read(spark), PARTIALS, merged, cutoff)
+    same_rows(compaction.read_rows(table.read(spark), READINGS, closed), before)
+    result = compaction.read_metrics(partials.read(spark), merged)
     assert result.schema.names == METRIC.names
     same_rows(result, window_metrics(readings(spark)))
-    folders = {p.parent.name for p in (tmp_path / "merged").glob("*/*.parquet")}
+    folders = {p.parent.parent.name for p in (tmp_path / "merged" / "days").glob("*/*/*.parquet")}
     assert folders == {"window_date=2024-01-01", "window_date=2024-01-02"}
+    # The second time there was nothing new to compact.
+    assert {p.parent.name for p in (tmp_path / "merged" / "days").glob("*/*/*.parquet")} == {"generation=1"}
 
 
-def test_late_rows_enter_when_a_day_is_compacted_again(spark, filled, tmp_path):
-    _, partials = filled
-    cutoff, merged = dt.date(2024, 1, 3), str(tmp_path / "merged")
-    compaction.compact_partials(partials.read(spark), merged, cutoff)
+@pytest.mark.parametrize("retired", [False, True])
+def test_late_rows_count_at_once_and_after_compacting_again(spark, filled, tmp_path, retired):
+    table, partials = filled
+    cutoff, roots = dt.date(2024, 1, 3), (str(tmp_path / "closed"), str(tmp_path / "merged"))
+
+    def both(fn, *args):
+        for stored, root in zip((table, partials), roots):
+            fn(stored, root, *args)
+
+    def compact(stored, root, since=None):
+        compaction.compact(stored.read(spark), stored.layout, root, cutoff, since)
+        if retired:
+            compaction.retire(spark, stored, root)
+
+    def check(n):
+        same_rows(compaction.read_metrics(partials.read(spark), roots[1]), window_metrics(readings(spark, n)))
+        rows = compaction.read_rows(table.read(spark), READINGS, roots[0])
+        same_rows(rows, readings(spark, n))
+
+    both(compact)
+    check(90)
     late = readings(spark, 30, 90)
-    partials.replace_batch(with_day(metric_partials(late)), 7)
-    compaction.compact_partials(partials.read(spark), merged, cutoff, since=dt.date(2024, 1, 1))
-    result = compaction.read_metrics(partials.read(spark), merged, cutoff)
-    same_rows(result, window_metrics(readings(spark, 120)))
+    table.replace_batch(late, batch(0, "other"))
+    partials.replace_batch(with_day(metric_partials(late)), batch(0, "other"))
+    check(120)
+    both(compact, dt.date(2024, 1, 1))
+    check(120)
+    live_days = {str(r[0]) for r in table.read(spark).select("date").distinct().collect()}
+    assert live_days == ({"2024-01-03"} if retired else set(DAYS))
+
+
+def test_a_generation_without_its_list_is_not_read(spark, filled, tmp_path, monkeypatch):
+    """A compaction that stops before the last step changes nothing."""
+    partials, root = filled[1], str(tmp_path / "merged")
+    rows = compaction._compacted
+    compaction.compact(partials.read(spark), PARTIALS, root, dt.date(2024, 1, 2))
+    stray = rows(spark, PARTIALS, root).withColumn("generation", F.lit(9))
+    stray.write.mode("append").partitionBy("window_date", "generation").parquet(f"{root}/days")
+    same_rows(compaction.read_metrics(partials.read(spark), root), window_metrics(readings(spark)))
+
+
+def test_retiring_in_a_catalog(spark, database, tmp_path):
+    fill(spark, database)
+    table = CatalogTable(f"{database}.{ddl.READING_BATCHES}", READINGS)
+    root = str(tmp_path / "closed")
+    compaction.compact(table.read(spark), READINGS, root, dt.date(2024, 1, 3))
+    assert compaction.retire(spark, table, root) == 6
+    assert {str(r[0]) for r in table.read(spark).select("date").distinct().collect()} == {"2024-01-03"}
+    same_rows(compaction.read_rows(table.read(spark), READINGS, root), readings(spark))
 
 
 @pytest.fixture
@@ -129,7 +202,7 @@ def database(spark, tmp_path):
 
 def test_tables_are_created_once(spark, database, tmp_path):
     names = ddl.create_tables(spark, database, location=str(tmp_path / "db"), older=True)
-    assert len(names) == 5
+    assert len(names) == 6
     assert spark.table(f"{database}.sensor_readings").schema.names == READING.names
     assert spark.table(f"{database}.sensor_metrics").schema.names == METRIC.names
     assert [f.dataType for f in spark.table(f"{database}.sensor_metrics").schema] == [
@@ -149,10 +222,10 @@ def test_table_statement_for_a_versioned_catalog():
 def fill(spark, database):
     table = CatalogTable(f"{database}.{ddl.READING_BATCHES}", READINGS)
     partials = CatalogTable(f"{database}.{ddl.PARTIAL_BATCHES}", PARTIALS)
-    for batch, offset in enumerate((0, 30, 60, 30)):
+    for number, offset in ((0, 0), (1, 30), (2, 60), (1, 30)):
         part = readings(spark, 30, offset)
-        table.replace_batch(part, min(batch, 2) if batch < 3 else 1)
-        partials.replace_batch(with_day(metric_partials(part)), batch if batch < 3 else 1)
+        table.replace_batch(part, batch(number))
+        partials.replace_batch(with_day(metric_partials(part)), batch(number))
 
 
 @pytest.mark.parametrize("session_mode", ["static", "dynamic"])

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from millpulse.operators.encode import encode_messages
 from millpulse.operators.enrich import derive, monitor_view
 from millpulse.operators.metrics import merged_window_metrics, window_metrics
 from millpulse.schemas import EVENT, QUARANTINE
-from millpulse.sinks.batch_tables import PARTIALS, QUARANTINED, READINGS, PathTable
+from millpulse.sinks.batch_tables import PARTIALS, QUARANTINED, READINGS, BatchId, PathTable
 from millpulse.sinks.messages import publish_files
 from millpulse.sources.messages import file_messages
 from millpulse.streaming import ingest, windows
@@ -54,7 +55,7 @@ def same_rows(a, b):
 
 
 def assert_tables_complete(spark, out):
-    same_rows(out.readings.read(spark).drop("batch_id"), rows(spark))
+    same_rows(out.readings.read(spark).drop("stream_id", "batch_id"), rows(spark))
     same_rows(merged_window_metrics(out.partials.read(spark)), window_metrics(rows(spark)))
 
 
@@ -83,10 +84,10 @@ def test_crash_between_two_tables_loses_and_repeats_nothing(spark, tmp_path, mon
     path = topic(spark, tmp_path / "topic", 4)
     out, write = targets(tmp_path), PathTable.replace_batch
 
-    def failing(self, frame, batch_id, rebalance=False):
-        if self.layout is PARTIALS and batch_id == 2:
+    def failing(self, frame, batch, rebalance=False):
+        if self.layout is PARTIALS and batch.number == 2:
             raise RuntimeError("lost")
-        write(self, frame, batch_id, rebalance)
+        write(self, frame, batch, rebalance)
 
     monkeypatch.setattr(PathTable, "replace_batch", failing)
     query = start_ingest(file_messages(spark, path, 1), out, str(tmp_path / "cp"), NOW)
@@ -136,7 +137,7 @@ def test_quarantine_takes_what_readings_do_not(spark, tmp_path):
     start_ingest(file_messages(spark, path), out, str(tmp_path / "cp"), NOW).awaitTermination()
     assert_tables_complete(spark, out)
     rejected = out.quarantine.read(spark)
-    assert rejected.schema.names == [*QUARANTINE.names, "batch_id"]
+    assert rejected.schema.names == [*QUARANTINE.names, "stream_id", "batch_id"]
     assert {(r["raw"], r["reason"]) for r in rejected.collect()} == {
         ("not json", "malformed_json"),
         ('{"timestamp":"2024-01-01T00:00:00"}', "missing_machine_id"),
@@ -156,26 +157,32 @@ def test_metrics_carry_the_processing_time_of_the_stream(spark, tmp_path):
     assert times[0] == times[1] and len(times[0]) == 2
 
 
-def test_console_monitor_runs_beside_the_table_query(spark, tmp_path):
+def test_console_monitor_runs_beside_the_table_query(spark, tmp_path, capsys):
     path = topic(spark, tmp_path / "topic", 2)
     messages = file_messages(spark, path)
     out = targets(tmp_path)
     spark.streams.resetTerminated()  # forget the failed queries of other tests
     tables = start_ingest(messages, out, str(tmp_path / "cp"), NOW, name="tables")
-    monitor = start_monitor(
-        monitor_view(enriched_stream(messages)), NOW, sink="memory", name="monitor_test"
-    )
+    monitor = start_monitor(monitor_view(enriched_stream(messages)), NOW, name="monitor_test")
     ingest.await_any(spark)
     tables.awaitTermination()
     monitor.awaitTermination()
-    shown = spark.table("monitor_test")
-    assert shown.columns == [*EVENT.names, "event_time", "date", "hour", "temp_fahrenheit",
-                             "pressure_psi", "is_fault", "temp_status"]
-    assert shown.count() == 240
+    shown = capsys.readouterr().out
+    header = next(line for line in shown.split("\n") if line.startswith("|"))
+    assert [c.strip() for c in header.strip("|").split("|")] == [
+        *EVENT.names, "event_time", "date", "hour", "temp_fahrenheit", "pressure_psi", "is_fault",
+        "temp_status"]
     assert_tables_complete(spark, out)
 
 
-def test_console_sink_and_timed_trigger(spark, tmp_path):
+def test_monitor_shows_a_few_rows_only(spark, tmp_path, capsys):
+    path = topic(spark, tmp_path / "topic", 1)
+    start_monitor(enriched_stream(file_messages(spark, path)), NOW, rows=3).awaitTermination()
+    shown = capsys.readouterr().out
+    assert len(re.findall(r"\|m\d", shown)) == 3 and "only showing top 3 rows" in shown
+
+
+def test_timed_trigger(spark, tmp_path):
     path = topic(spark, tmp_path / "topic", 1)
     query = start_monitor(
         enriched_stream(file_messages(spark, path)), {"processingTime": "1 second"}
@@ -185,6 +192,45 @@ def test_console_sink_and_timed_trigger(spark, tmp_path):
     query.stop()
 
 
+def test_a_second_checkpoint_adds_to_the_tables(spark, tmp_path):
+    """100 messages, then 40 under a fresh checkpoint, whose batches count from zero again."""
+    out = targets(tmp_path)
+    for k, (low, high) in enumerate(((0, 100), (100, 140))):
+        part = rows(spark).filter(
+            f"event_time >= timestamp '2024-01-01' + interval {low} minutes and "
+            f"event_time < timestamp '2024-01-01' + interval {high} minutes")
+        path = topic(spark, tmp_path / f"topic-{k}", 1, part)
+        for _ in range(2):  # a restart of the same checkpoint adds nothing
+            start_ingest(file_messages(spark, path), out, str(tmp_path / f"cp-{k}"), NOW).awaitTermination()
+    assert out.readings.read(spark).count() == 140
+    metrics = merged_window_metrics(out.partials.read(spark))
+    assert metrics.agg(F.sum("total_readings")).first()[0] == 140
+    assert out.readings.read(spark).select("stream_id").distinct().count() == 2
+
+
+def test_files_of_a_backfill_follow_days_not_tasks(spark, tmp_path):
+    frame = rows(spark).withColumn("event_time", F.expr("event_time + make_interval(0, 0, 0, minute(event_time) % 3)"))
+    path = topic(spark, tmp_path / "topic", 6, frame)
+    out = targets(tmp_path)
+    start_ingest(
+        file_messages(spark, path, 6), out, str(tmp_path / "cp"), NOW, backfill=True
+    ).awaitTermination()
+    for folder in ("readings", "partials"):
+        assert len(list((tmp_path / folder).glob("*/*/*/*.parquet"))) == 3
+    assert out.readings.read(spark).count() == 240
+
+
+def test_stored_stream_id_can_be_stated(spark, tmp_path):
+    path = topic(spark, tmp_path / "topic", 1)
+    out = targets(tmp_path)
+    start_ingest(
+        file_messages(spark, path), out, str(tmp_path / "cp"), NOW, stream_id="plant-7"
+    ).awaitTermination()
+    assert [r[0] for r in out.readings.read(spark).select("stream_id").distinct().collect()] == ["plant-7"]
+    with pytest.raises(RuntimeError, match="stream"):
+        ingest.durable_stream_id(rows(spark))
+
+
 def windowed(spark, tmp_path, source, mode):
     target = PathTable(str(tmp_path / mode), PARTIALS)
     windows.start_windowed(
@@ -219,8 +265,60 @@ def test_closed_windows_are_written_once(spark, tmp_path):
     assert result.count() == closed.count() > 0
 
 
-def test_publishing_spreads_small_tables_only(spark, tmp_path):
+def test_late_rows_count_within_the_bound_and_are_reported_beyond(spark, tmp_path):
+    """After 03:59 the watermark stands at 03:49: its window is open for a late
+    row, the first one is closed."""
+    path = ordered_topic(spark, tmp_path)
+    late = rows(spark, 1).drop("event_time")
+    inside, beyond = (
+        derive(late.withColumn("event_time", F.lit(t).cast("timestamp")))
+        for t in ("2024-01-01 03:46:00", "2024-01-01 00:05:00"))
+    listener = windows.LateRows()
+    spark.streams.addListener(listener)
+    target = PathTable(str(tmp_path / "states"), PARTIALS)
+
+    def run():
+        query = windows.start_windowed(
+            enriched_stream(file_messages(spark, path, 1)), target, str(tmp_path / "cp"), NOW,
+            output_mode="update", state_partitions=2, name="late")
+        query.awaitTermination()
+        return query
+
+    try:
+        run()
+        topic(spark, path, 1, inside.unionByName(beyond))
+        query = run()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        import time
+
+        for _ in range(50):
+            if listener.dropped:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.dropped == {str(query.id): 1}
+    counted = windows.latest_windows(target.read(spark))
+    assert counted.agg(F.sum("total_readings")).first()[0] == 241
+    last = counted.filter("window_start = '2024-01-01 03:45:00' and machine_id = 'm0'").first()
+    assert last["total_readings"] == 6
+
+
+def test_window_states_of_two_streams_add_up(spark, tmp_path):
+    target = PathTable(str(tmp_path / "states"), PARTIALS)
+    for k in range(2):
+        part = rows(spark).filter(F.minute("event_time") % 2 == k)
+        path = topic(spark, tmp_path / f"topic-{k}", 1, part)
+        windows.start_windowed(
+            enriched_stream(file_messages(spark, path)), target, str(tmp_path / f"cp-{k}"), NOW,
+            state_partitions=2,
+        ).awaitTermination()
+    same_rows(windows.latest_windows(target.read(spark)), window_metrics(rows(spark)))
+
+
+def test_publishing_writes_as_many_files_as_stated(spark, tmp_path):
     messages = encode_messages(rows(spark).withColumn("row_time", F.col("event_time")))
-    assert publish_files(messages.coalesce(1), str(tmp_path / "a"), min_files=4) == 4
-    assert publish_files(messages.repartition(3), str(tmp_path / "b"), min_files=2) == 3
+    publish_files(messages.coalesce(1), str(tmp_path / "a"), files=4)
+    publish_files(messages.repartition(3), str(tmp_path / "b"))
+    assert [len(list((tmp_path / d).glob("*.txt"))) for d in "ab"] == [4, 3]
     assert spark.read.text(str(tmp_path / "a")).count() == 240
