@@ -16,9 +16,13 @@ WINDOW_MINUTES = 15
 
 
 def parse_timestamp(text: Column, fmt: str | None = None) -> Column:
-    """Text to timestamp; text that is no timestamp becomes NULL instead of an error."""
+    """Text to timestamp; text that is no timestamp becomes NULL instead of an error.
+
+    A time without a date is no timestamp: Spark would put it on the day on which
+    it happens to be read.
+    """
     if fmt is None:
-        return F.try_to_timestamp(text)
+        return F.when(~text.rlike(r"^\s*T?\d{1,2}:"), F.try_to_timestamp(text))
     return F.try_to_timestamp(text, F.lit(fmt))
 
 

@@ -12,12 +12,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millpulse.operators import encode, profile, reports
+from millpulse.operators import encode, history, profile, reports
 from millpulse.operators.enrich import monitor_view
 from millpulse.operators.metrics import merged_window_metrics
 from millpulse.session import build_session
 from millpulse.sinks import compaction, ddl
-from millpulse.sinks.batch_tables import PARTIALS, QUARANTINED, READINGS, CatalogTable, PathTable
+from millpulse.sinks.batch_tables import (
+    PARTIALS,
+    QUARANTINED,
+    READINGS,
+    BatchId,
+    BatchTable,
+    CatalogTable,
+    PathTable,
+    TableLayout,
+)
 from millpulse.sinks.messages import publish_files, publish_kafka
 from millpulse.sources.csv_rows import read_csv_rows
 from millpulse.sources.messages import file_messages, kafka_messages, kafka_options
@@ -29,6 +38,7 @@ from millpulse.streaming.ingest import (
     start_ingest,
 )
 from millpulse.streaming.monitor import start_monitor
+from millpulse.streaming.windows import LATE_BOUND, LateRows, start_windowed
 
 READING_REPORTS = {
     "temperature_trend": reports.temperature_trend,
@@ -38,22 +48,25 @@ READING_REPORTS = {
     "recent_risk_or_fault": reports.recent_risk_or_fault,
     "daily_temperature_stats": reports.daily_temperature_stats,
     "profile": profile.profile,
+    "approximate_profile": profile.approximate_profile,
     "column_info": profile.column_info,
+    "sample_readings": lambda rows: reports.sample_readings(rows, "event_time", "machine_id"),
 }
 METRIC_REPORTS = {"high_fault_windows": reports.high_fault_windows}
 
 
-def _tables(args) -> IngestTargets:
-    def table(name, folder, layout):
-        if args.database:
-            branch = getattr(args, "branch", None)
-            return CatalogTable(f"{args.database}.{name}", layout, args.versioned, branch)
-        return PathTable(f"{args.root.rstrip('/')}/{folder}", layout)
+def _table(args, name: str, folder: str, layout: TableLayout) -> BatchTable:
+    if args.database:
+        branch = getattr(args, "branch", None)
+        return CatalogTable(f"{args.database}.{name}", layout, args.versioned, branch)
+    return PathTable(f"{args.root.rstrip('/')}/{folder}", layout)
+
 
+def _tables(args) -> IngestTargets:
     return IngestTargets(
-        table(ddl.READING_BATCHES, "readings", READINGS),
-        table(ddl.PARTIAL_BATCHES, "partials", PARTIALS),
-        table(ddl.QUARANTINE_BATCHES, "quarantine", QUARANTINED)
+        _table(args, ddl.READING_BATCHES, "readings", READINGS),
+        _table(args, ddl.PARTIAL_BATCHES, "partials", PARTIALS),
+        _table(args, ddl.QUARANTINE_BATCHES, "quarantine", QUARANTINED)
         if getattr(args, "quarantine", False)
         else None,
     )
@@ -66,6 +79,7 @@ def _messages(spark: SparkSession, args) -> DataFrame:
             args.topic,
             args.starting_offsets,
             max_offsets_per_trigger=args.max_per_trigger,
+            min_partitions=args.min_partitions,
         )
         return kafka_messages(spark, options)
     return file_messages(spark, args.messages, args.max_per_trigger)
@@ -81,29 +95,61 @@ def init_tables(spark: SparkSession, args) -> None:
         ddl.create_views(spark, args.database)
 
 
+def _await(spark: SparkSession, args, *queries) -> None:
+    """Until the stream is caught up (``--once``) or one of its queries ends. A
+    query that failed, even before this call, raises here."""
+    if args.once:
+        for query in queries:
+            query.awaitTermination()
+        return
+    # Any query that fails ends the job, so a scheduler can start it again.
+    await_any(spark)
+    for query in queries:
+        if not query.isActive:
+            query.awaitTermination()
+
+
 def ingest(spark: SparkSession, args) -> None:
     messages = _messages(spark, args)
-    start_ingest(
-        messages,
-        _tables(args),
-        args.checkpoint,
-        _trigger(args),
-        name="tables",
-        backfill=args.backfill,
-    )
+    queries = [
+        start_ingest(
+            messages,
+            _tables(args),
+            args.checkpoint,
+            _trigger(args),
+            name="tables",
+            backfill=args.backfill,
+        )
+    ]
     if args.monitor:
-        start_monitor(monitor_view(enriched_stream(messages)), name="monitor")
-    if args.once:
-        for query in spark.streams.active:
-            query.awaitTermination()
-    else:
-        # Any query that fails ends the job, so a scheduler can start it again.
-        await_any(spark)
+        view = monitor_view(enriched_stream(messages))
+        queries.append(start_monitor(view, _trigger(args), name="monitor"))
+    _await(spark, args, *queries)
+
+
+def windows(spark: SparkSession, args) -> None:
+    """Store window states with a bound on late data."""
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = start_windowed(
+            enriched_stream(_messages(spark, args)),
+            _table(args, ddl.WINDOW_STATES, "window_states", PARTIALS),
+            args.checkpoint,
+            _trigger(args),
+            args.delay,
+            output_mode=args.mode,
+            state_partitions=args.state_partitions,
+            name="windows",
+        )
+        _await(spark, args, query)
+    finally:
+        spark.streams.removeListener(late)
 
 
 def monitor(spark: SparkSession, args) -> None:
     stream = monitor_view(enriched_stream(_messages(spark, args)))
-    start_monitor(stream, _trigger(args)).awaitTermination()
+    start_monitor(stream, _trigger(args), rows=args.rows).awaitTermination()
 
 
 def publish(spark: SparkSession, args) -> None:
@@ -121,37 +167,77 @@ def publish(spark: SparkSession, args) -> None:
         encode.rejected_rows(typed).write.mode("overwrite").json(args.rejects)
 
 
+def _compacted(args, folder: str) -> str | None:
+    return f"{args.compacted.rstrip('/')}/{folder}" if args.compacted else None
+
+
+def _show(result: DataFrame, args) -> None:
+    if args.output:
+        result.write.mode("overwrite").parquet(args.output)
+    else:
+        result.show(args.rows, truncate=False)
+
+
 def report(spark: SparkSession, args) -> None:
+    """A named report; rows of compacted days come from the compacted tables."""
     tables = _tables(args)
     of_metrics = args.name in METRIC_REPORTS
-    table = tables.partials if of_metrics else tables.readings
+    table, folder = (tables.partials, "partials") if of_metrics else (tables.readings, "readings")
     if args.start and args.end:
         until = args.end.date() + dt.timedelta(days=1)
-        rows = table.read_days(spark, args.start.date(), until)
+        live = table.read_days(spark, args.start.date(), until)
     else:
-        rows = table.read(spark)
+        live = table.read(spark)
+    rows = compaction.read_rows(live, table.layout, _compacted(args, folder))
     if of_metrics:
         rows = in_time_range(rows, args.start, args.end, "window_start", "window_date")
         result = METRIC_REPORTS[args.name](merged_window_metrics(rows))
     else:
-        rows = in_time_range(rows.drop("batch_id"), args.start, args.end)
-        result = READING_REPORTS[args.name](rows)
-    if args.output:
-        result.write.mode("overwrite").parquet(args.output)
-    else:
-        result.show(args.rows, truncate=False)
+        result = READING_REPORTS[args.name](in_time_range(rows, args.start, args.end))
+    _show(result, args)
+
+
+def sql(spark: SparkSession, args) -> None:
+    """A statement over the views sensor_readings and sensor_metrics of this session."""
+    tables = _tables(args)
+    ddl.register_views(
+        *(
+            compaction.read_rows(table.read(spark), table.layout, _compacted(args, folder))
+            for table, folder in ((tables.readings, "readings"), (tables.partials, "partials"))
+        )
+    )
+    _show(spark.sql(args.statement), args)
 
 
 def compact(spark: SparkSession, args) -> None:
-    tables, root = _tables(args), args.compacted.rstrip("/")
+    """Closed days into few files; with --retire, delete the live batches they hold."""
+    tables = _tables(args)
+    for table, folder in ((tables.readings, "readings"), (tables.partials, "partials")):
+        live = (
+            table.read(spark) if args.since is None else table.read_days(spark, args.since, args.before)
+        )
+        root = _compacted(args, folder)
+        compaction.compact(live, table.layout, root, args.before, args.since)
+        if args.retire:
+            compaction.retire(spark, table, root)
+
+
+def upgrade(spark: SparkSession, args) -> None:
+    """Readings of the older layout into the current table; older aggregates as metrics."""
+    target = _table(args, ddl.READING_BATCHES, "readings", READINGS)
+    older = history.upgrade_readings(spark.table(f"{args.database}.{ddl.READINGS_V1}"))
+    # One batch under a name of its own: done again, it replaces itself.
+    target.replace_batch(older, BatchId("upgrade", 0), rebalance=True)
+    if args.metrics:
+        aggregates = spark.table(f"{args.database}.{ddl.AGGREGATES_V1}")
+        history.metrics_from_aggregates(aggregates).write.mode("overwrite").parquet(args.metrics)
 
-    def live(table):
-        if args.since is None:
-            return table.read(spark)
-        return table.read_days(spark, args.since, args.before)
 
-    compaction.compact_readings(live(tables.readings), f"{root}/readings", args.before, args.since)
-    compaction.compact_partials(live(tables.partials), f"{root}/partials", args.before, args.since)
+def diff(spark: SparkSession, args) -> None:
+    """Rows added, removed and changed between two stored states of a table."""
+    old, new = (spark.read.parquet(path) for path in (args.old, args.new))
+    compare = args.compare or [c for c in old.columns if c in new.columns and c not in args.key]
+    _show(history.snapshot_diff(old, new, args.key, compare), args)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -177,9 +263,15 @@ def _parser() -> argparse.ArgumentParser:
         where.add_argument("--messages", help="folder of message text files")
         sub.add_argument("--topic")
 
+    def shown(sub):
+        where = sub.add_mutually_exclusive_group(required=True)
+        where.add_argument("--output", help="parquet folder for the whole result")
+        where.add_argument("--rows", type=int, help="print so many rows instead")
+
     def stream(sub):
         sub.add_argument("--starting-offsets", default="latest")
         sub.add_argument("--max-per-trigger", type=int)
+        sub.add_argument("--min-partitions", type=int, help="tasks that read the topic, at least")
         sub.add_argument("--once", action="store_true", help="stop when caught up")
 
     sub = command(init_tables)
@@ -196,7 +288,16 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--backfill", action="store_true", help="steps hold many days at once")
     sub.add_argument("--monitor", action="store_true", help="also print to the console")
 
-    command(monitor, source, stream).add_argument("--every", default="5 seconds")
+    sub = command(windows, source, stored, stream)
+    sub.add_argument("--checkpoint", required=True, help="durable folder")
+    sub.add_argument("--every", default="30 seconds")
+    sub.add_argument("--delay", default=LATE_BOUND, help="how late a row may be")
+    sub.add_argument("--mode", choices=["update", "append"], default="update")
+    sub.add_argument("--state-partitions", type=int, help="fixed by the first start")
+
+    sub = command(monitor, source, stream)
+    sub.add_argument("--every", default="5 seconds")
+    sub.add_argument("--rows", type=int, default=20, help="rows shown of each step")
 
     sub = command(publish, source)
     sub.add_argument("--csv", required=True)
@@ -204,23 +305,42 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--timestamp-format")
     sub.add_argument("--rejects", help="folder for rows that could not be read")
 
-    sub = command(report, stored)
+    sub = command(report, stored, shown)
     sub.add_argument("--branch", help="branch or tag of a versioned catalog")
     sub.add_argument("name", choices=[*READING_REPORTS, *METRIC_REPORTS])
     sub.add_argument("--start", type=dt.datetime.fromisoformat)
     sub.add_argument("--end", type=dt.datetime.fromisoformat)
-    sub.add_argument("--output", help="parquet folder; default: the first rows on the console")
-    sub.add_argument("--rows", type=int, default=50)
+    sub.add_argument("--compacted", help="folder that compact has written")
+
+    sub = command(sql, stored, shown)
+    sub.add_argument("--branch", help="branch or tag of a versioned catalog")
+    sub.add_argument("statement")
+    sub.add_argument("--compacted", help="folder that compact has written")
 
     sub = command(compact, stored)
     sub.add_argument("--compacted", required=True)
     sub.add_argument("--before", type=dt.date.fromisoformat, required=True)
     sub.add_argument("--since", type=dt.date.fromisoformat)
+    sub.add_argument("--retire", action="store_true", help="delete live batches that are compacted")
+
+    sub = command(upgrade)
+    sub.add_argument("--database", required=True)
+    sub.add_argument("--versioned", action="store_true", help="the catalog keeps snapshots")
+    sub.add_argument("--metrics", help="parquet folder for the older aggregates as metrics")
+
+    sub = command(diff, shown)
+    sub.add_argument("--old", required=True)
+    sub.add_argument("--new", required=True)
+    sub.add_argument("--key", nargs="+", required=True)
+    sub.add_argument("--compare", nargs="+", help="columns; default: all that both have")
     return parser
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if getattr(args, "kafka", None) and not args.topic:
+        parser.error("--kafka needs --topic")
     args.run(spark or build_session(), args)
 
 

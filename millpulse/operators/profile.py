@@ -98,7 +98,6 @@ def profile(
     columns: Sequence[str] | None = None,
     fractions: Sequence[float] = QUARTILES,
     accuracy: int = 10_000,
-    in_memory: int = 100_000,
 ) -> DataFrame:
     """The profile with exact, linearly interpolated quantiles.
 
@@ -106,12 +105,14 @@ def profile(
     aggregation buffer. Here each wanted rank is narrowed down instead: bounded
     sketches propose cut points, an exact count around them tells in which
     piece the rank lies, and the piece is cut again until it is one repeated
-    value or holds at most ``in_memory`` values. Only counts and cut points
-    reach the driver; each round is one scan of the profiled columns. A piece
-    shrinks by a factor in the order of ``accuracy`` per round whatever the
-    distribution, so a trillion rows need two rounds of cutting.
+    value. Only counts and cut points reach the driver; each round is two scans
+    of the profiled columns. A piece shrinks by a factor in the order of
+    ``accuracy`` per round whatever the distribution, and a cut point is a value
+    of the piece, so every round ends nearer: a trillion rows need three rounds.
     """
     names = list(columns or numeric_columns(table))
+    # The measures only, computed once for each scan.
+    table = table.select(*(F.col(f"`{name}`") for name in dict.fromkeys(names)))
     # The first scan also sketches every column, around the wanted fractions.
     around = [min(max(f + d, 0.0), 1.0) for f in fractions for d in _offsets(accuracy)]
     stats = table.agg(
@@ -123,8 +124,8 @@ def profile(
     wanted = {
         (i, rank): whole[i] for i in known for f in fractions for rank in _neighbours(f, whole[i].size)
     }
-    cuts = {i: set(stats[f"q{i}"]) for i in known if whole[i].size > in_memory}
-    values = _values_at(table, names, wanted, cuts, accuracy, in_memory)
+    cuts = {i: set(stats[f"q{i}"]) for i in known}
+    values = _values_at(table, names, wanted, cuts, accuracy)
 
     rows = []
     for i, name in enumerate(names):
@@ -186,22 +187,17 @@ def _values_at(
     wanted: dict[tuple[int, int], Piece],
     cuts: dict[int, set[float]],
     accuracy: int,
-    in_memory: int,
 ) -> dict[tuple[int, int], float]:
     """The value at each wanted (column, rank), ranks counted from zero."""
     found: dict[tuple[int, int], float] = {}
     while wanted:
-        if cuts:
-            pieces = _pieces_between(table, names, wanted, cuts)
-            wanted = {
-                (i, rank): next(p for p in pieces[i] if p.holds(rank)) if i in pieces else piece
-                for (i, rank), piece in wanted.items()
-            }
+        pieces = _pieces_between(table, names, wanted, cuts)
+        wanted = {
+            (i, rank): next(p for p in pieces[i] if p.holds(rank)) for (i, rank) in wanted
+        }
         found |= {key: p.low for key, p in wanted.items() if p.low == p.high}
         wanted = {key: p for key, p in wanted.items() if key not in found}
-        looked_up, cuts = _open_pieces(table, names, wanted, accuracy, in_memory)
-        found |= looked_up
-        wanted = {key: p for key, p in wanted.items() if key not in found}
+        cuts = _new_cuts(table, names, wanted, accuracy)
     return found
 
 
@@ -239,32 +235,21 @@ def _pieces_between(table, names, wanted, cuts) -> dict[int, list[Piece]]:
     return out
 
 
-def _open_pieces(table, names, wanted, accuracy, in_memory):
-    """Values of the ranks in small pieces, and new cut points inside large ones."""
+def _new_cuts(table, names, wanted, accuracy) -> dict[int, set[float]]:
+    """New cut points inside the pieces that hold wanted ranks, around these."""
     pieces: dict[Piece, list[int]] = {}
     for (_, rank), piece in wanted.items():
         pieces.setdefault(piece, []).append(rank - piece.below)
     if not pieces:
-        return {}, {}
-    columns, results = [], []
-    for j, (piece, places) in enumerate(pieces.items()):
-        inside, result = piece.inside(_number(names[piece.column])), F.col(f"v{j}")
-        if piece.size <= in_memory:
-            # Counted before: the list cannot grow past the limit.
-            column = F.sort_array(F.collect_list(inside))
-            result = F.array(*[F.get(result, F.lit(at)) for at in places])
-        else:
-            shares = [at / (piece.size - 1) + d for at in places for d in _offsets(accuracy)]
-            column = F.percentile_approx(inside, [min(max(s, 0.0), 1.0) for s in shares], accuracy)
-        columns.append(column.alias(f"v{j}"))
-        results.append(result.alias(f"v{j}"))
-    result = table.agg(*columns).select(*results).first()
-
-    looked_up, cuts = {}, {}
+        return {}
+    columns = []
     for j, (piece, places) in enumerate(pieces.items()):
-        if piece.size <= in_memory:
-            for at, value in zip(places, result[f"v{j}"], strict=True):
-                looked_up[piece.column, at + piece.below] = value
-        else:
-            cuts.setdefault(piece.column, set()).update(result[f"v{j}"])
-    return looked_up, cuts
+        shares = [at / max(1, piece.size - 1) + d for at in places for d in _offsets(accuracy)]
+        inside = piece.inside(_number(names[piece.column]))
+        sketch = F.percentile_approx(inside, [min(max(s, 0.0), 1.0) for s in shares], accuracy)
+        columns.append(sketch.alias(f"v{j}"))
+    result = table.agg(*columns).first()
+    cuts: dict[int, set[float]] = {}
+    for j, piece in enumerate(pieces):
+        cuts.setdefault(piece.column, set()).update(result[f"v{j}"])
+    return cuts

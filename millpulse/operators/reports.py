@@ -124,19 +124,20 @@ def daily_temperature_stats(
 ) -> DataFrame:
     """Temperature per day and machine over the trailing ``days``.
 
-    The span ends at ``as_of``, or at the latest event time in the data (a
-    scalar subquery over that one column). ``date`` is bounded too, which
-    prunes the older partitions of a stored table.
+    The span ends at ``as_of``, or at the latest event time in the data: the
+    latest day first (of a stored table, folder names only), then the latest time
+    within it. ``date`` is bounded on both sides too, so other partitions of a
+    stored table are not read.
     """
     if as_of is None:
-        latest = readings.agg(F.max("event_time").alias("latest")).select(
-            (F.col("latest") - F.make_dt_interval(F.lit(days))).alias("since")
-        )
-        since = latest.scalar()
+        day = readings.agg(F.max("date").alias("day")).scalar()
+        until = readings.filter(F.col("date") == day).agg(F.max("event_time").alias("latest")).scalar()
     else:
-        since = S.instant(as_of - dt.timedelta(days=days))
+        until = S.instant(as_of)
+    since = until - F.make_dt_interval(F.lit(days))
     recent = readings.filter(
-        (F.col("event_time") >= since) & (F.col("date") >= F.to_date(since))
+        (F.col("event_time") >= since) & (F.col("event_time") <= until)
+        & (F.col("date") >= F.to_date(since)) & (F.col("date") <= F.to_date(until))
     )
     return (
         recent.groupBy("date", "machine_id")

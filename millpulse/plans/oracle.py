@@ -198,6 +198,15 @@ SELECT "date", machine_id, round(avg(temperature_c), 6) AS avg_temperature,
        round(min(temperature_c), 6) AS min_temperature, count(temperature_c) AS reading_count
 FROM r WHERE event_time >= (SELECT max(event_time) FROM r) - INTERVAL 7 days
 GROUP BY "date", machine_id
+""",
+    "daily_temperature_stats_as_of": _READINGS + """
+, t AS (SELECT min(event_time)::DATE + (max(event_time)::DATE - min(event_time)::DATE) // 2 * INTERVAL 1 day
+               + INTERVAL 12 hours AS until FROM r)
+SELECT "date", machine_id, round(avg(temperature_c), 6) AS avg_temperature,
+       round(max(temperature_c), 6) AS max_temperature,
+       round(min(temperature_c), 6) AS min_temperature, count(temperature_c) AS reading_count
+FROM r, t WHERE event_time >= until - INTERVAL 7 days AND event_time <= until
+GROUP BY "date", machine_id
 """,
     "sample_readings": _READINGS + """
 SELECT event_id, event_time, machine_id, temperature_c, vibration_mms, pressure_bar
@@ -215,15 +224,23 @@ SELECT machine_id, vibration_mms, temperature_c, pressure_bar, rms_vibration, me
        fault_label, event_time, "date", "hour", temp_fahrenheit, pressure_psi, is_fault,
        temp_status, time_window
 FROM r
+""",
+    "two_streams_readings": _READINGS + """
+SELECT machine_id, vibration_mms, temperature_c, pressure_bar, rms_vibration, mean_temp,
+       fault_label, event_time, "date", "hour", temp_fahrenheit, pressure_psi, is_fault,
+       temp_status, time_window
+FROM r
 """,
     "merged_window_metrics": _METRICS,
     "compacted_window_metrics": _METRICS,
     "ingested_quarantine": f"SELECT reason, count(*) AS messages FROM ({_REASON}) GROUP BY reason",
-    "stream_window_metrics": _METRICS,
+    "stream_window_metrics": _METRICS
+    + " WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 minutes FROM r)",
     "catalog_readings_in_range": _READINGS + """
 SELECT event_time, "date", machine_id, temperature_c, vibration_mms, pressure_bar, time_window
-FROM r
-WHERE event_time >= TIMESTAMP '2024-01-10 06:00:00' AND event_time < TIMESTAMP '2024-01-12 18:00:00'
+FROM r, (SELECT min(event_time)::DATE AS a, max(event_time)::DATE AS b FROM r) d
+WHERE event_time >= a + (b - a) // 3 * INTERVAL 1 day + INTERVAL 6 hours
+  AND event_time < a + (b - a) // 3 * INTERVAL 1 day + INTERVAL 66 hours
 """,
     "catalog_high_fault_windows": _HIGH_FAULT,
     "snapshot_diff": """

@@ -9,6 +9,7 @@ the partitioning).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,6 @@ QUERIES: dict[str, Query] = {}
 
 DECIMALS = 6
 MEASURES = ("temperature_c", "vibration_mms", "pressure_bar")
-COMPACTION_CUTOFF = dt.date(2024, 1, 16)
-RANGE_START, RANGE_END = dt.datetime(2024, 1, 10, 6, 0), dt.datetime(2024, 1, 12, 18, 0)
 
 
 def query(fn: Query) -> Query:
@@ -111,9 +110,13 @@ def quarantined_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _csv_files(spark: SparkSession, folder: str) -> str:
+    """Files of two column orders, one of them with a column more."""
     path = scratch_path(spark, "csv")
-    rows = ev.csv_cells(ev.read_events(spark, folder), bad_every=97).drop("event_id")
-    rows.write.option("header", True).csv(path)
+    cells = ev.csv_cells(ev.read_events(spark, folder), bad_every=97)
+    names = [c for c in cells.columns if c != "event_id"]
+    for part, order in enumerate((names, [*reversed(names), "event_id"])):
+        rows = cells.filter(F.col("event_id") % 2 == part).select(*(f"`{c}`" for c in order))
+        rows.write.mode("append").option("header", True).csv(path)
     return path
 
 
@@ -209,6 +212,13 @@ def daily_temperature_stats(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(reports.daily_temperature_stats(_readings(spark, folder)))
 
 
+@query
+def daily_temperature_stats_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Trailing days that end at noon of the middle day of the events."""
+    as_of = dt.datetime.combine(_middle(spark, folder), dt.time(12))
+    return _rounded(reports.daily_temperature_stats(_readings(spark, folder), as_of=as_of))
+
+
 @query
 def sample_readings(spark: SparkSession, folder: str) -> DataFrame:
     ordered = _readings(spark, folder).select("event_id", "event_time", "machine_id", *MEASURES)
@@ -256,48 +266,114 @@ def aggregates_v1_to_metrics(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams and tables ---------------------------------------------------
 
 
-def _ingested(spark: SparkSession, folder: str, quarantine: bool = False) -> IngestTargets:
-    """The events as a message stream in about four steps, ingested into tables."""
-    root = scratch_path(spark, "ingest")
-    if quarantine:
-        messages = ev.damaged_messages(ev.read_events(spark, folder)).select(
-            F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value")
-        )
-    else:
-        messages = encode.encode_messages(_message_rows(spark, folder))
-    files = publish_files(messages, f"{root}/topic", min_files=4)
-    targets = IngestTargets(
+STEPS = 4
+
+
+def _days(spark: SparkSession, folder: str) -> tuple[dt.date, dt.date]:
+    """First and last day of the events."""
+    ends = ev.read_events(spark, folder).agg(F.min("ts"), F.max("ts")).first()
+    return ends[0].date(), ends[1].date()
+
+
+def _middle(spark: SparkSession, folder: str) -> dt.date:
+    first, last = _days(spark, folder)
+    return first + (last - first) // 2
+
+
+def _targets(root: str, quarantine: bool = False) -> IngestTargets:
+    return IngestTargets(
         batch_tables.PathTable(f"{root}/readings", batch_tables.READINGS),
         batch_tables.PathTable(f"{root}/partials", batch_tables.PARTIALS),
         batch_tables.PathTable(f"{root}/quarantine", batch_tables.QUARANTINED)
         if quarantine
         else None,
     )
-    stream = file_messages(spark, f"{root}/topic", max_files_per_trigger=-(-files // 4))
+
+
+def _ingest(spark: SparkSession, topic: str, targets: IngestTargets, checkpoint: str) -> None:
+    """One file of the topic in each step; a step may hold many days."""
     start_ingest(
-        stream, targets, f"{root}/checkpoint", trigger={"availableNow": True}
+        file_messages(spark, topic, max_files_per_trigger=1),
+        targets,
+        checkpoint,
+        trigger={"availableNow": True},
+        backfill=True,
     ).awaitTermination()
+
+
+def _ingested(
+    spark: SparkSession, folder: str, quarantine: bool = False, in_order: bool = True
+) -> IngestTargets:
+    """The events as a message stream in steps, ingested into tables.
+
+    A topic holds its messages about in the order of time; unordered, every step
+    has rows of every day and window.
+    """
+    root = scratch_path(spark, "ingest")
+    if quarantine:
+        events = ev.damaged_messages(ev.read_events(spark, folder))
+        messages = events.select(
+            "event_id", F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value")
+        )
+        publish_files(messages.repartitionByRange(STEPS, "event_id"), f"{root}/topic")
+    else:
+        rows = _message_rows(spark, folder)
+        if in_order:
+            rows = rows.repartitionByRange(STEPS, "row_time")
+        messages = encode.encode_messages(rows)
+        publish_files(messages, f"{root}/topic", None if in_order else STEPS)
+    targets = _targets(root, quarantine)
+    _ingest(spark, f"{root}/topic", targets, f"{root}/checkpoint")
     return targets
 
 
+def _stored_readings(targets: IngestTargets, spark: SparkSession) -> DataFrame:
+    stored = targets.readings.read(spark)
+    return _plain(stored.drop("stream_id", "batch_id", "processing_time", "timestamp"))
+
+
 @query
 def ingested_readings(spark: SparkSession, folder: str) -> DataFrame:
-    stored = _ingested(spark, folder).readings.read(spark)
-    return _plain(stored.drop("batch_id", "processing_time", "timestamp"))
+    return _stored_readings(_ingested(spark, folder), spark)
+
+
+@query
+def two_streams_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams with checkpoints of their own write batches of equal numbers
+    into the same tables; both keep all their rows."""
+    root = scratch_path(spark, "two-streams")
+    targets = _targets(root)
+    rows = _message_rows(spark, folder)
+    for part in (0, 1):
+        half = rows.filter(F.col("event_id") % 2 == part).repartitionByRange(2, "row_time")
+        publish_files(encode.encode_messages(half), f"{root}/topic-{part}")
+        _ingest(spark, f"{root}/topic-{part}", targets, f"{root}/checkpoint-{part}")
+    return _stored_readings(targets, spark)
 
 
 @query
 def merged_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    stored = _ingested(spark, folder).partials.read(spark)
+    """Every step has parts of every window."""
+    stored = _ingested(spark, folder, in_order=False).partials.read(spark)
     return _metric_columns(metrics.merged_window_metrics(stored))
 
 
 @query
 def compacted_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    live = _ingested(spark, folder).partials.read(spark)
-    closed = scratch_path(spark, "closed-days")
-    compaction.compact_partials(live, closed, COMPACTION_CUTOFF)
-    return _metric_columns(compaction.read_metrics(live, closed, COMPACTION_CUTOFF))
+    """Days of the first half compacted after two thirds of the events, their
+    batches retired, and the rest, late for these days, stored afterwards."""
+    root = scratch_path(spark, "compacted")
+    targets, cutoff = _targets(root), _middle(spark, folder)
+    rows = _message_rows(spark, folder)
+    for part, chosen in (("first", F.col("event_id") % 3 > 0), ("late", F.col("event_id") % 3 == 0)):
+        messages = rows.filter(chosen).repartitionByRange(2, "row_time")
+        publish_files(encode.encode_messages(messages), f"{root}/topic-{part}")
+        _ingest(spark, f"{root}/topic-{part}", targets, f"{root}/checkpoint-{part}")
+        if part == "first":
+            live = targets.partials.read(spark)
+            compaction.compact(live, batch_tables.PARTIALS, f"{root}/closed", cutoff)
+            compaction.retire(spark, targets.partials, f"{root}/closed")
+    return _metric_columns(compaction.read_metrics(targets.partials.read(spark), f"{root}/closed"))
 
 
 @query
@@ -310,57 +386,79 @@ def ingested_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Stateful windows over the events as one stream step, so no row is late."""
+    """Windows that the watermark has closed, over the events in steps of rising
+    time. The last ones stay open: more rows for them could come."""
     root = scratch_path(spark, "windows")
-    events = ev.stream_events(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
-    readings = enrich.derive(ev.event_fields(events)).withColumn(
-        "processing_time", F.current_timestamp()
+    events = ev.read_events(spark, folder).repartitionByRange(STEPS, "ts")
+    events = events.withColumn("step", F.spark_partition_id())
+    events.write.partitionBy("step").parquet(f"{root}/steps")
+    for step in range(STEPS):  # one file each, one after the other: streams read files by age
+        part = spark.read.schema(ev.EVENTS).parquet(f"{root}/steps").filter(F.col("step") == step)
+        part.drop("step").coalesce(1).write.mode("append").parquet(f"{root}/events")
+    stream = (
+        spark.readStream.schema(ev.EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
     )
+    readings = enrich.derive(
+        ev.event_fields(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+    ).withColumn("processing_time", F.current_timestamp())
     target = batch_tables.PathTable(f"{root}/states", batch_tables.PARTIALS)
     windows.start_windowed(
         readings,
         target,
         f"{root}/checkpoint",
         trigger={"availableNow": True},
+        output_mode="append",
         state_partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     return _metric_columns(windows.latest_windows(target.read(spark)))
 
 
-def _catalog(spark: SparkSession, folder: str) -> str:
-    """A database of external tables filled through the catalog sinks."""
-    database = "millpulse_check"
+def _from_catalog(
+    spark: SparkSession,
+    folder: str,
+    layout: batch_tables.TableLayout,
+    view: str,
+    answer: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """The answer from a view over tables that are filled through the catalog sink,
+    in a database of their own, which is dropped when the answer is stored."""
     root = scratch_path(spark, "catalog")
-    ddl.create_database(spark, database)
-    for table in (ddl.READING_BATCHES, ddl.PARTIAL_BATCHES, ddl.QUARANTINE_BATCHES):
-        # External tables: dropping the name of an earlier run deletes no data.
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-    ddl.create_tables(spark, database, location=root)
-    ddl.create_views(spark, database)
-    parsed = _events(spark, folder).select(*EVENT.names)
-    readings = enrich.enrich(parsed)
-    batch_tables.CatalogTable(
-        f"{database}.{ddl.READING_BATCHES}", batch_tables.READINGS
-    ).replace_batch(readings, 0)
-    stored = read_table(spark, f"{database}.{ddl.READING_BATCHES}")
-    partials = metrics.metric_partials(stored).withColumn("window_date", F.to_date("window_start"))
-    batch_tables.CatalogTable(
-        f"{database}.{ddl.PARTIAL_BATCHES}", batch_tables.PARTIALS
-    ).replace_batch(partials, 0)
-    return database
+    database = f"millpulse_{uuid.uuid4().hex}"
+    try:
+        ddl.create_tables(spark, database, location=f"{root}/tables")
+        ddl.create_views(spark, database)
+        rows = enrich.enrich(_events(spark, folder).select(*EVENT.names))
+        name = ddl.READING_BATCHES
+        if layout is batch_tables.PARTIALS:
+            name = ddl.PARTIAL_BATCHES
+            rows = metrics.metric_partials(rows).withColumn("window_date", F.to_date("window_start"))
+        table = batch_tables.CatalogTable(f"{database}.{name}", layout)
+        table.replace_batch(rows, batch_tables.BatchId("check", 0), rebalance=True)
+        result = answer(read_table(spark, f"{database}.{view}"))
+        result.write.parquet(f"{root}/answer")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    return spark.read.schema(result.schema).parquet(f"{root}/answer")
 
 
 @query
 def catalog_readings_in_range(spark: SparkSession, folder: str) -> DataFrame:
-    readings = read_table(spark, f"{_catalog(spark, folder)}.{ddl.READINGS_VIEW}")
-    found = in_time_range(readings, RANGE_START, RANGE_END)
-    return _plain(found.select("event_time", "date", "machine_id", *MEASURES, "time_window"))
+    first, last = _days(spark, folder)
+    start = dt.datetime.combine(first + (last - first) // 3, dt.time(6))
+
+    def answer(readings: DataFrame) -> DataFrame:
+        found = in_time_range(readings, start, start + dt.timedelta(days=2, hours=12))
+        return _plain(found.select("event_time", "date", "machine_id", *MEASURES, "time_window"))
+
+    return _from_catalog(spark, folder, batch_tables.READINGS, ddl.READINGS_VIEW, answer)
 
 
 @query
 def catalog_high_fault_windows(spark: SparkSession, folder: str) -> DataFrame:
-    view = read_table(spark, f"{_catalog(spark, folder)}.{ddl.METRICS_VIEW}")
-    return _rounded(reports.high_fault_windows(view))
+    return _from_catalog(
+        spark, folder, batch_tables.PARTIALS, ddl.METRICS_VIEW,
+        lambda view: _rounded(reports.high_fault_windows(view)),
+    )
 
 
 # --- history --------------------------------------------------------------

@@ -2,21 +2,42 @@
 
 from __future__ import annotations
 
+import functools
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from millpulse.schemas import CSV_COLUMNS, CSV_ROWS
 
-from millpulse.schemas import CSV_ROWS
+_OPTIONS = {"header": True, "encoding": "UTF-8"}
 
 
-def read_csv_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_csv_rows(spark: SparkSession, path: str | list[str], one_header: bool = False) -> DataFrame:
     """All cells as text under the file's own header names (UTF-8).
 
-    The schema is given, so the files are read once and one bad cell cannot
-    turn a whole column into text. Typing happens in ``operators.encode``.
+    Columns are found by name, so files may have them in another order, and others
+    beside them. The header line of every file is looked at, one small job each;
+    with ``one_header`` that of the first file counts for all. Files of one header
+    are read together, each file once. Typing happens in ``operators.encode``.
     """
-    return (
-        spark.read.schema(CSV_ROWS)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    files = sorted(map(unquote, spark.read.text(path).inputFiles()))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files[:1] if one_header else files:
+        header = tuple(spark.read.options(**_OPTIONS).csv(file).columns)
+        # An empty file, of a task without rows, has no header and no rows.
+        if header:
+            by_header.setdefault(header, []).append(file)
+    if one_header:
+        by_header = {header: files for header in by_header}
+    parts = []
+    for header, group in by_header.items():
+        missing = [name for name in CSV_COLUMNS if name not in header]
+        if missing:
+            raise ValueError(f"no column {', '.join(map(repr, missing))} in {group[0]}")
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        rows = spark.read.schema(schema).options(**_OPTIONS, enforceSchema=False).csv(group)
+        parts.append(rows.select(*(f"`{name}`" for name in CSV_COLUMNS)))
+    if not parts:
+        return spark.createDataFrame([], CSV_ROWS)
+    return functools.reduce(DataFrame.unionByName, parts)

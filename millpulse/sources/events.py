@@ -81,7 +81,7 @@ def damaged_messages(events: DataFrame) -> DataFrame:
     kind = F.col("event_id") % 50
     value = (
         F.when(kind == 0, "not json")
-        .when(kind == 1, '{"test":"connection","timestamp":"2024-01-01T00:00:00"}')
+        .when(kind == 1, '{"probe":true,"timestamp":"2024-02-03T04:05:06"}')
         .when(kind == 2, F.to_json(F.struct(F.lit("garbage").alias("timestamp"), "machine_id")))
         .when(kind == 3, F.lit(None).cast("string"))
         .otherwise(good)

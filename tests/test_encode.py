@@ -1,3 +1,4 @@
+import pytest
 import json
 import math
 
@@ -70,3 +71,21 @@ def test_assignment_is_stable_and_in_range(spark):
     first = ids(rows)
     assert first == ids(rows.repartition(7))
     assert set(first.values()) == {f"machine_{i}" for i in range(1, 6)}
+
+
+def test_columns_are_found_by_name_in_every_file(spark, tmp_path):
+    names = list(CSV_COLUMNS)
+    cells = dict(zip(names, ["2024-01-01 00:00:00", "1.5", "36.6", "2.0", "0.7", "36.0", "1"]))
+    orders = [names, names[::-1], [*names[3:], "More, with comma", *names[:3]]]
+    folder = tmp_path / "rows of some files"
+    folder.mkdir()
+    for i, order in enumerate(orders):
+        quoted = ",".join(f'"{n}"' for n in order)
+        row = ",".join(cells.get(n, "x") for n in order)
+        (folder / f"{i}.csv").write_text(f"{quoted}\n{row}\n", encoding="utf-8")
+    (folder / "empty.csv").write_text("")
+    rows = read_csv_rows(spark, str(folder)).collect()
+    assert [tuple(r) for r in rows] == [tuple(cells[n] for n in names)] * 3
+    (folder / "wrong.csv").write_text(",".join(names[1:]) + "\n1,2,3,4,5,6\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="Timestamp"):
+        read_csv_rows(spark, str(folder))

@@ -1,7 +1,12 @@
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from millpulse.jobs import main
-from millpulse.schemas import CSV_COLUMNS
+from millpulse.schemas import CSV_COLUMNS, READING_V1
+from millpulse.sinks.batch_tables import PARTIALS, PathTable, append_table
+from millpulse.streaming.windows import latest_windows
 
 
 @pytest.fixture
@@ -32,14 +37,29 @@ def test_from_csv_to_reports(spark, csv, tmp_path, capsys):
     assert report("high_fault_windows", "--start", "2024-01-01T06:00:00",
                   "--end", "2024-01-01T10:00:00").count() == 2
     assert report("profile").count() > 5
-    main(["report", "fault_by_machine", "--root", root], spark)
+    main(["report", "fault_by_machine", "--root", root, "--rows", "5"], spark)
     assert "fault_percentage" in capsys.readouterr().out
-    main(["compact", "--root", root, "--compacted", str(tmp_path / "closed"), "--before", "2024-01-02"],
-         spark)
-    assert spark.read.parquet(str(tmp_path / "closed" / "readings")).count() == 24
-    main(["compact", "--root", root, "--compacted", str(tmp_path / "closed"), "--since", "2024-01-01",
-          "--before", "2024-01-02"], spark)
-    assert spark.read.parquet(str(tmp_path / "closed" / "partials")).count() == 24
+    assert report("sample_readings").count() == 20
+    main(["sql", "SELECT count(*) AS n FROM sensor_metrics", "--root", root,
+          "--output", str(tmp_path / "sql")], spark)
+    assert spark.read.parquet(str(tmp_path / "sql")).first()["n"] == 24
+
+    def all_reports(*options):
+        return [
+            sorted(map(tuple, report(name, *options).collect()))
+            for name in ("temperature_trend", "fault_by_machine", "hourly_patterns", "high_fault_windows")
+        ]
+
+    before, closed = all_reports(), str(tmp_path / "closed")
+    compacted = ["--compacted", closed]
+    main(["compact", "--root", root, *compacted, "--before", "2024-01-02"], spark)
+    assert spark.read.parquet(f"{closed}/readings/days").count() == 24
+    assert all_reports(*compacted) == before
+    main(["compact", "--root", root, *compacted, "--since", "2024-01-01", "--before", "2024-01-02",
+          "--retire"], spark)
+    assert spark.read.parquet(f"{closed}/partials/days").count() == 24
+    assert report("temperature_trend").count() == 0  # no live batch is left
+    assert all_reports(*compacted) == before
 
 
 def test_tables_in_a_database(spark, csv, tmp_path):
@@ -61,7 +81,65 @@ def test_tables_in_a_database(spark, csv, tmp_path):
     spark.sql("DROP DATABASE jobs_test CASCADE")
 
 
-def test_source_and_target_must_be_named(capsys):
+@pytest.mark.parametrize(
+    "line",
+    ["ingest --checkpoint x --root y", "ingest --kafka h:1 --checkpoint x --root y",
+     "report fault_by_machine --root y", "publish --kafka h:1 --csv x"],
+)
+def test_arguments_that_are_needed(line, capsys):
     with pytest.raises(SystemExit):
-        main(["ingest", "--checkpoint", "x", "--root", "y"])
+        main(line.split())
     capsys.readouterr()
+
+
+@pytest.mark.parametrize("monitor", [[], ["--monitor"]])
+def test_a_failed_stream_fails_the_job(spark, csv, tmp_path, monkeypatch, monitor, capsys):
+    """Also when it has failed before the job waits for it."""
+    from millpulse import jobs
+    from millpulse.sinks.batch_tables import PathTable
+
+    def fail(self, *args, **kwargs):
+        raise RuntimeError("disk is gone")
+
+    def slow_start(*args, **kwargs):
+        query = start(*args, **kwargs)
+        while query.isActive:
+            time.sleep(0.1)
+        return query
+
+    start = jobs.start_ingest
+    monkeypatch.setattr(PathTable, "replace_batch", fail)
+    monkeypatch.setattr(jobs, "start_ingest", slow_start)
+    topic = str(tmp_path / "topic")
+    main(["publish", "--csv", csv, "--messages", topic], spark)
+    with pytest.raises(Exception, match="disk is gone"):
+        main(["ingest", "--messages", topic, "--root", str(tmp_path / "t"), "--checkpoint",
+              str(tmp_path / "cp"), "--once", *monitor], spark)
+    spark.streams.resetTerminated()
+    capsys.readouterr()
+
+
+def test_windows_upgrade_and_diff(spark, csv, tmp_path):
+    topic = str(tmp_path / "topic")
+    main(["publish", "--csv", csv, "--messages", topic], spark)
+    main(["windows", "--messages", topic, "--root", str(tmp_path / "t"), "--checkpoint",
+          str(tmp_path / "cp"), "--once", "--state-partitions", "2"], spark)
+    states = PathTable(str(tmp_path / "t" / "window_states"), PARTIALS).read(spark)
+    assert latest_windows(states).count() == 24
+
+    main(["init-tables", "--database", "upgrade_test", "--location", str(tmp_path / "db"), "--older"], spark)
+    row = {"timestamp": "2024-01-01T00:00:00", "machine_id": "m", "temperature_c": 90.0}
+    old = spark.createDataFrame([row], READING_V1).withColumn("event_time", F.to_timestamp("timestamp"))
+    append_table(old.withColumn("date", F.to_date("event_time")), "upgrade_test.sensor_readings_v1")
+    for _ in range(2):
+        main(["upgrade", "--database", "upgrade_test"], spark)
+    new = spark.table("upgrade_test.sensor_readings").collect()
+    assert [(r["machine_id"], r["temp_status"]) for r in new] == [("m", "HIGH")]
+    spark.sql("DROP DATABASE upgrade_test CASCADE")
+
+    for name, rows in (("a", [(1, 5), (2, 6)]), ("b", [(1, 5), (2, 7), (3, 8)])):
+        spark.createDataFrame(rows, "id int, v int").write.parquet(str(tmp_path / name))
+    main(["diff", "--old", str(tmp_path / "a"), "--new", str(tmp_path / "b"), "--key", "id",
+          "--output", str(tmp_path / "diff")], spark)
+    assert {(r["id"], r["change_type"]) for r in spark.read.parquet(str(tmp_path / "diff")).collect()} == {
+        (2, "changed"), (3, "added")}

@@ -21,7 +21,7 @@ GOOD = json.dumps({
     "temperature_c": 36.6, "pressure_bar": 2.0, "rms_vibration": 0.7, "mean_temp": 36.0,
     "fault_label": 1,
 })
-FOREIGN = '{"test":"connection","timestamp":"2024-01-01T00:00:00"}'
+FOREIGN = '{"probe":true,"timestamp":"2024-01-01T00:00:00"}'
 
 
 def messages(spark, *values):
@@ -106,3 +106,9 @@ def test_encoded_events_parse_to_themselves(spark, events):
     value = F.to_json(F.struct(*EVENT.names)).cast("binary").alias("value")
     back = [tuple(r) for r in parse_messages(rows.select(value)).collect()]
     assert sorted(map(repr, back)) == sorted(map(repr, events))
+
+
+def test_a_time_without_a_date_is_quarantined(spark):
+    message = '{"timestamp":"12:30:00","machine_id":"m"}'
+    rows = spark.createDataFrame([(bytearray(message.encode()),)], "value binary")
+    assert classify_messages(rows).first()["reason"] == "bad_event_time"

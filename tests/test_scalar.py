@@ -30,7 +30,10 @@ def test_unit_conversions(spark):
 
 
 def test_unreadable_time_is_null(spark):
-    assert one(spark, S.parse_timestamp(F.lit("garbage"))) is None
+    # A time of day alone would be a time of the day on which it is read.
+    for text in ("garbage", "12:30:00", "T12:30", " 7:05", ""):
+        assert one(spark, S.parse_timestamp(F.lit(text))) is None
+    assert one(spark, S.parse_timestamp(F.lit(None).cast("string"))) is None
     text = as_text(S.parse_timestamp(F.lit("2024-01-01T00:00:00+02:00")))
     assert one(spark, text) == "2023-12-31 22:00:00.000000"
 
