@@ -1,0 +1,120 @@
+"""Fingerprints and the trie join against direct versions."""
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from millpulse.llm import simhash_dedup as sd
+
+
+def slow_fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(prints):
+    """prints: {doc_id: fingerprint}; the smallest id reachable."""
+    parent = {d: d for d in prints}
+
+    def find(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    ids = sorted(prints)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: find(d) for d in ids}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [None, "", " \n\t", "One", "one TWO", "one two three", "a b c d e f g a b c d e f g", "Éa éa ÉA\x0bb\x1cc d",
+     "word " * 3000 + "end"],
+)
+def test_fingerprint(text):
+    assert sd.fingerprint(text) == slow_fingerprint(text)
+
+
+def _prints(seed, n=150, near=250):
+    rng = np.random.default_rng(seed)
+    out = [int(x) for x in rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)]
+    for _ in range(near):
+        value = out[int(rng.integers(0, len(out)))]
+        for bit in rng.integers(0, 64, rng.integers(0, 4)):
+            value ^= 1 << int(bit)
+        out.append(value)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_walk_equals_all_pairs(seed):
+    f = np.unique(np.array(_prints(seed), dtype=np.uint64))
+    root = sd.walk(f, None, 0)
+    assert {i: int(r) for i, r in enumerate(root)} == slow_components(dict(enumerate(map(int, f))))
+
+
+def test_walk_of_a_dense_ball():
+    """Thousands of fingerprints around one: linked without looking at all pairs."""
+    center, values = 0x123456789ABCDEF0, set()
+    rng = np.random.default_rng(1)
+    while len(values) < 5000:
+        value = center
+        for bit in rng.integers(0, 64, 3):
+            value ^= 1 << int(bit)
+        values.add(value)
+    f = np.array(sorted(values), dtype=np.uint64)
+    assert len(set(sd.walk(f, None, 0))) == 1
+
+
+@pytest.mark.parametrize("task", [1 << 16, 8])
+def test_links_of_the_deal_equal_all_pairs(spark, monkeypatch, task):
+    """With small tasks the full nodes are descended, some of them several times."""
+    monkeypatch.setattr(sd, "TASK", task)
+    prints = dict(enumerate(_prints(7), 100))
+    by_print = {}
+    for d, f in prints.items():
+        by_print.setdefault(f, d)
+    rows = [(sd._signed(f), d) for f, d in by_print.items()]
+    unique = spark.createDataFrame(rows, "fp long, rep long")
+    got = {r.member: r.component for r in sd.components(sd.near_links(unique)).collect()}
+    want = slow_components({d: f for f, d in by_print.items()})
+    assert {d: got.get(d, d) for d in want} == want
+
+
+def test_near_duplicates_and_edge_rows(spark):
+    base = " ".join(f"w{i}" for i in range(400))
+    docs = [(5, base), (3, base), (9, base + " more"), (4, "quite another text than those"), (2, None), (1, ""),
+            (7, " \n "), (None, base), (8, "x"), (8, "x")]
+    frame = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, member_id int")
+    rows = sd.near_duplicates(frame).collect()
+    prints = {d: slow_fingerprint(t) for d, t in docs if d is not None}
+    want = slow_components(prints)
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in rows if r.doc_id) == sorted(
+        (d, f"{slow_fingerprint(t):016x}", want[d]) for d, t in docs if d is not None
+    )
+    assert [r.component_id for r in rows if r.doc_id is None] == [None]
+    kept = sd.one_of_each(frame)
+    assert kept.columns == frame.columns
+    expected = [d for d, _ in docs if d is None or want[d] == d]
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_chain_of_components(spark):
+    """A long path needs more than one round."""
+    links = spark.createDataFrame([(i + 1, i) for i in range(1, 60)], "child long, parent long")
+    assert {r.component for r in sd.components(links).collect()} == {1}
+
+
+def test_empty(spark):
+    assert sd.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -1,0 +1,101 @@
+"""The tree, exact distances, and recall against brute force."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millpulse.llm import vector_tree as vt
+
+
+def brute(ids, x, k=10):
+    """Rows (query_id, rank, vec_id, score) for ids divisible by 100."""
+    out = {}
+    for i in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        others = np.flatnonzero(ids != ids[i])
+        best = others[np.lexsort((ids[others], d[others]))[:k]]
+        out[int(ids[i])] = [(int(ids[j]), float(d[j])) for j in best]
+    return out
+
+
+def searched(frame):
+    out = {}
+    for r in vt.nearest_neighbours(frame, F.col("vec_id") % 100 == 0).collect():
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for rows in out.values():
+        assert sorted(r[0] for r in rows) == list(range(1, len(rows) + 1))
+    return {q: [(v, s) for _, v, s in sorted(rows)] for q, rows in out.items()}
+
+
+def test_recall_on_clusters(spark, monkeypatch):
+    monkeypatch.setattr(vt, "LEAF_ROWS", 50)
+    rng = np.random.default_rng(0)
+    centers = rng.normal(size=(20, 16)) * 2
+    x = (centers[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 16))).astype(np.float32)
+    x[1000:2300] = x[5]  # a third of the rows are copies
+    ids = np.arange(4000)
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+    got, want = searched(frame), brute(ids, x.astype(float))
+    assert set(got) == set(want)
+    hits = [len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want]
+    assert sum(hits) / (10 * len(want)) >= 0.93
+    distance = {(q, v): s for q in want for v, s in want[q]}
+    for q in got:
+        for v, s in got[q]:
+            if (q, v) in distance:
+                assert s == pytest.approx(distance[(q, v)], rel=1e-12, abs=1e-12)
+    for q in range(1000, 2300, 100):  # of copies, the smallest ids
+        assert got[q] == want[q]
+
+
+def test_small_tables_are_exact(spark):
+    rows = [
+        (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [2.0, 0.0]), (100, [1.0, 1.0]), (100, [1.0, 1.0]),
+        (4, None), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (8, [None, 1.0]),
+        (9, [1.0]), (200, [0.0, 0.0]), (None, [1.0, 0.5]), (300, None),
+    ]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, leaf int")
+    got = searched(frame)
+    assert set(got) == {0, 100}
+    assert [v for v, _ in got[0]] == [1, 3, 100, 2]  # ties go to smaller ids
+    assert [s for _, s in got[0]] == pytest.approx([0, 1, 1, 2**0.5])
+    assert [v for v, _ in got[100]] == [0, 1, 2, 3]
+
+
+def test_no_vectors(spark):
+    empty = spark.createDataFrame([(100, None)], "vec_id long, embedding array<float>")
+    assert searched(empty) == {}
+    assert searched(empty.limit(0)) == {}
+    one = spark.createDataFrame([(100, [1.0])], "vec_id long, embedding array<float>")
+    assert searched(one) == {}
+
+
+def test_blocks_do_not_change_results(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(1200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    first = searched(frame)
+    monkeypatch.setattr(vt, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(vt, "BLOCK_QUERIES", 3)
+    assert searched(frame) == first
+
+
+def test_best_bin_first_order():
+    rng = np.random.default_rng(3)
+    tree = vt.fit_tree(rng.normal(size=(500, 3)), 40)
+    assert tree.leaves <= 40
+    visits = tree.visits(rng.normal(size=(5, 3)), tree.leaves)
+    assert all(sorted(v) == list(range(tree.leaves)) for v in visits)
+    leaf = tree.assign(rng.normal(size=(50, 3)))
+    assert leaf.min() >= 0 and leaf.max() < tree.leaves
+
+
+def test_query_recall(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    want = brute(np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=float))
+    got = {}
+    for r in vt.op6_vector_tree(spark, folder).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(want)
+    assert sum(len(got[q] & {v for v, _ in want[q]}) for q in want) / (10 * len(want)) >= 0.9
