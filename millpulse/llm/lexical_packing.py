@@ -6,15 +6,18 @@ tokens, so that like texts meet in one shard of at most ``SHARD_DOCS`` tails.
 A shard builds a BM25 inverted index over its token ids, with document
 frequencies of the whole corpus. The longest unused tail seeds a window; the
 index returns unused neighbours, which fill the window greedily; the best
-neighbour that is too long is cut and seeds the next window with its rest. What a
+neighbour that is too long is cut and seeds the next window with its rest. If all
+that the index returned have fitted, it is asked for all others. What a
 shard cannot fill goes on to the next one; the last rest of a partition becomes
 sequences whose lengths are powers of two, which need no padding.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,9 +31,11 @@ WINDOW = 2048
 END_ID = 1
 SHARD_DOCS = 2048
 QUERY_TERMS = 24
+#: Neighbours that the index returns at first.
+NEIGHBOURS = 64
 SKETCH_BITS = 16
 K1, B = 1.2, 0.75
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
 #: Added to the sequence ids of whole windows.
 WHOLE = 1 << 60
 
@@ -43,37 +48,108 @@ def tokenizer_path() -> str:
 
 class WordEncoder:
     """Token ids of texts. The tokenizer drops white space and never joins over
-    it, so words are encoded once and their ids kept, up to a bound."""
+    it, so words are encoded once and their ids kept, up to a bound.
+
+    It lowers case itself, and keeps a point or comma after a letter apart; both
+    are taken off before a word is looked up, so that few words are new. A text
+    that may hold special tokens, which are found before case is lowered, is
+    left as it is.
+    """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cached = cached
         self.known: dict[bytes, bytes] = {}
+        # A word of letters in lower case and composed form is a token sequence of
+        # its own: no normalizer and no pattern have to look at it, and its last
+        # token says that it ends.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)]
+        )
+        self.last = np.zeros(self.vocabulary, dtype=bool)
+        self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        #: Between other new words that are encoded together: a sign of its own token.
+        self.mark = self._ids("\x01")[0]
+        self.stop = {c: np.array(self._ids(chr(c)), dtype="<u4").tobytes() for c in b".,"}
 
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        known = self.known
+        letters, others = [], []
+        for word in words:
+            text = word.decode("utf-8", "surrogatepass")
+            simple = text.isalpha() and text.lower() == text and (
+                text.isascii() or unicodedata.is_normalized("NFC", text)
+            )
+            (letters if simple else others).append((word, text))
+        for k in range(0, len(letters), 256):
+            part = letters[k : k + 256]
+            ids = self.plain.encode_batch_fast([" ".join([t for _, t in part])], add_special_tokens=False)[0].ids
+            ids = np.array(ids, dtype="<u4")
+            self._store(part, ids, np.flatnonzero(self.last[ids]) + 1, 0)
+        for k in range(0, len(others), 256):
+            part = others[k : k + 256]
+            ids = np.array([*self._ids(" \x01 ".join([t for _, t in part])), self.mark], dtype="<u4")
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) == len(part):
+                self._store(part, ids, ends, 1)
+            else:  # a word holds the sign itself
+                known.update((word, np.array(self._ids(text), dtype="<u4").tobytes()) for word, text in part)
+
+    def _store(self, words: list[tuple], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
+        data, at = ids.tobytes(), 0
+        for (word, _), end in zip(words, (4 * ends).tolist(), strict=True):
+            self.known[word] = data[at:end]
+            at = end + 4 * gap
+
+    def _meet(self, words: set[bytes]) -> None:
+        """Make all these words known."""
+        known, stop = self.known, self.stop
+        new = words.difference(known)
+        if not new:
+            return
+        if len(known) + 2 * len(new) > self.cached:
+            known.clear()
+            new = words
+        stems = {w: w[:-1] for w in new if w[-1] in stop and len(w) > 1 and 97 <= w[-2] <= 122}
+        own = new.difference(stems)
+        own.update(stems.values())
+        self._learn(own.difference(known))
+        for word, stem in stems.items():
+            known[word] = known[stem] + stop[word[-1]]
+
     def encode(self, texts: list[str | None], end_id: int | None = END_ID) -> Iterator[np.ndarray]:
         end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
-        for text in texts:
-            words = (text or "").encode("utf-8", "surrogatepass").split()
-            known = self.known
-            new = [w for w in set(words) if w not in known]
-            if new:
-                if len(known) + len(new) > self.cached:
-                    known.clear()
-                    new = list(set(words))
-                encoded = self.tokenizer.encode_batch_fast(
-                    [w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False
-                )
-                known.update(
-                    zip(new, (np.array(e.ids, dtype="<u4").tobytes() for e in encoded))
-                )
-            yield np.frombuffer(b"".join([known[w] for w in words]) + end, dtype="<u4")
+        ids_of = self.known.__getitem__
+        for k in range(0, len(texts), 64):
+            split = []
+            for text in texts[k : k + 64]:
+                whole = (text or "").encode("utf-8", "surrogatepass")
+                split.append((whole if b"<|" in whole else whole.lower()).split())
+            self._meet(set(itertools.chain.from_iterable(split)))
+            for words in split:
+                yield np.frombuffer(b"".join(map(ids_of, words)) + end, dtype="<u4")
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def shared_encoder(path: str) -> WordEncoder:
+    """One for each worker process: its words serve the tasks that follow."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def _planes(vocabulary: int) -> np.ndarray:
@@ -85,7 +161,7 @@ def _pieces(path: str, window: int, end_id: int):
     vocabulary, a larger one takes 32."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(path)
+        encoder = shared_encoder(path)
         kind = "<u2" if encoder.vocabulary <= 1 << 16 else "<u4"
         planes = _planes(max(encoder.vocabulary, end_id + 1))
         powers = 1 << np.arange(SKETCH_BITS)
@@ -99,8 +175,7 @@ def _pieces(path: str, window: int, end_id: int):
                         out.append((doc_id, start, n, True, 0, ids[start : start + window].astype(kind).tobytes()))
                     if n % window:
                         tail = ids[n - n % window :]
-                        terms, counts = np.unique(tail, return_counts=True)
-                        side = np.log1p(counts).astype(np.float32) @ planes[terms] > 0
+                        side = planes[tail].sum(axis=0) > 0
                         out.append((doc_id, n - n % window, n, False, int(side @ powers), tail.astype(kind).tobytes()))
                 yield pd.DataFrame(out, columns=["doc_id", "start", "doc_tokens", "whole", "sketch", "ids"])
 
@@ -141,9 +216,9 @@ class Shard:
         self.doc, self.posted = doc[order], weight[order]
         self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused tails, best BM25 score for the seed's weightiest terms first;
-        ties and tails that share no term in shard order."""
+    def neighbours(self, seed: int, unused: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Unused tails, best BM25 score for the seed's weightiest terms first,
+        ``most`` of them; ties and tails that share no term in shard order."""
         own = slice(self.at[seed], self.at[seed + 1])
         term, weight = self.term[own], self.weight[own]
         if len(term) > QUERY_TERMS:
@@ -152,7 +227,11 @@ class Shard:
         docs = np.concatenate([self.doc[r] for r in ranges])
         score = np.bincount(docs, np.concatenate([self.posted[r] for r in ranges]), self.n)
         left = np.flatnonzero(unused)
-        return left[np.argsort(-score[left], kind="stable")]
+        score = -score[left]
+        if most is not None and most < len(left):
+            near = score <= np.partition(score, most - 1)[most - 1]
+            left, score = left[near], score[near]
+        return left[np.argsort(score, kind="stable")][:most]
 
 
 def pack_shard(
@@ -184,9 +263,10 @@ def pack_shard(
         pieces, room = [take(seed, min(int(size[seed]), window))], window
         room -= len(pieces[0][3])
         first, seed = seed, None
-        if room:
+        most = NEIGHBOURS
+        while room:
             longer = None
-            for i in shard.neighbours(first, unused).tolist():
+            for i in shard.neighbours(first, unused, most).tolist():
                 length = int(size[i])
                 if length <= room:
                     pieces.append(take(i, length))
@@ -195,9 +275,10 @@ def pack_shard(
                         break
                 elif longer is None:
                     longer = i
-            if room:
+            if room and longer is not None:
                 pieces.append(take(longer, room))
-                seed = longer
+                room, seed = 0, longer
+            most = None  # all of these fit: now all others
         left -= window
         out.append(pieces)
     rest = [
