@@ -33,7 +33,7 @@ from millpulse.llm.common import fresh, stored, table
 FILTER_BITS = 1 << 29
 SEGMENT_BITS = 1 << 20
 #: Digests gathered before a task writes a part of the filters.
-PART_LINES = 2_000_000
+PART_LINES = 300_000
 MIN_KEY = 10
 
 
@@ -58,13 +58,14 @@ def digests(text: str | None, least: int) -> set[bytes]:
 def _positions(found: list[bytes], bits: int) -> np.ndarray:
     """Two filter bits for each digest."""
     words = np.frombuffer(b"".join(found), dtype="<u8").reshape(-1, 2)
-    return (words & np.uint64(bits - 1)).astype(np.uint32)
+    where = (words & np.uint64(bits - 1)).astype(np.uint32)
+    where[:, 1] ^= where[:, 1] == where[:, 0]
+    return where
 
 
 def _filter_parts(bits: int, least: int):
     def parts(found: list[bytes]) -> pd.DataFrame:
         where = _positions(found, bits)
-        where[:, 1] = np.where(where[:, 1] == where[:, 0], where[:, 0] ^ 1, where[:, 1])
         once, counts = np.unique(where, return_counts=True)
         segment = once // SEGMENT_BITS
         cut = np.flatnonzero(np.diff(segment)) + 1
@@ -91,57 +92,49 @@ def _filter_parts(bits: int, least: int):
 
 
 def _merge_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    once: dict[int, np.ndarray] = {}
-    twice: dict[int, np.ndarray] = {}
+    seen: dict[int, np.ndarray] = {}  # how often a bit was set: 0, 1, or 2 for more
     for batch in batches:
         for segment, one, two in batch.itertuples(index=False):
-            if segment not in once:
-                once[segment] = np.zeros(SEGMENT_BITS, dtype=bool)
-                twice[segment] = np.zeros(SEGMENT_BITS, dtype=bool)
+            counts = seen.setdefault(segment, np.zeros(SEGMENT_BITS, dtype=np.uint8))
             one = np.frombuffer(one, dtype=np.uint32)
-            twice[segment][one[once[segment][one]]] = True
-            twice[segment][np.frombuffer(two, dtype=np.uint32)] = True
-            once[segment][one] = True
-    rows = [(s, zlib.compress(np.packbits(b).tobytes(), 1)) for s, b in twice.items() if b.any()]
-    yield pd.DataFrame(rows, columns=["segment", "bits"])
-
-
-_loaded: dict[int, np.ndarray] = {}
-
-
-def _unpacked(shared, bits: int) -> np.ndarray:
-    """The filter as bytes; kept for the tasks that this worker runs next."""
-    key = id(shared.value)
-    if key not in _loaded:
-        _loaded.clear()
-        whole = np.zeros(bits // 8, dtype=np.uint8)
-        size = SEGMENT_BITS // 8
-        for segment, packed in shared.value:
-            whole[segment * size : (segment + 1) * size] = np.frombuffer(
-                zlib.decompress(packed), dtype=np.uint8
-            )
-        _loaded[key] = whole
-    return _loaded[key]
+            counts[one] = np.minimum(counts[one] + 1, 2)
+            counts[np.frombuffer(two, dtype=np.uint32)] = 2
+    for segment, counts in seen.items():
+        twice = counts > 1
+        if twice.any():
+            packed = zlib.compress(np.packbits(twice).tobytes(), 1)
+            yield pd.DataFrame([(segment, packed)], columns=["segment", "bits"])
+
+
+def _unpacked(parts: list[tuple[int, bytes]], bits: int) -> np.ndarray:
+    """The filter as bytes."""
+    whole = np.zeros(bits // 8, dtype=np.uint8)
+    size = SEGMENT_BITS // 8
+    for segment, packed in parts:
+        part = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
+        whole[segment * size : (segment + 1) * size] = part[: len(whole)]
+    return whole
 
 
 def _suspects(shared, bits: int, least: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filled = _unpacked(shared.value, bits)  # of this task only
         for batch in batches:
-            ids, found = [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                own = digests(text, least)
-                found.extend(own)
-                ids.extend([doc_id] * len(own))
-            if not found:
-                continue
-            where = _positions(found, bits)
-            where[:, 1] = np.where(where[:, 1] == where[:, 0], where[:, 0] ^ 1, where[:, 1])
-            bytes_ = _unpacked(shared, bits)
-            hit = ((bytes_[where >> 3] << (where & 7).astype(np.uint8)) & 128).all(axis=1)
-            keep = np.flatnonzero(hit)
-            yield pd.DataFrame(
-                {"doc_id": [ids[i] for i in keep], "digest": [found[i] for i in keep]}
-            )
+            for k in range(0, len(batch), 1024):
+                part = batch.iloc[k : k + 1024]
+                ids, found = [], []
+                for doc_id, text in zip(part["doc_id"], part["text"]):
+                    own = digests(text, least)
+                    found.extend(own)
+                    ids.extend([doc_id] * len(own))
+                if not found:
+                    continue
+                where = _positions(found, bits)
+                hit = ((filled[where >> 3] << (where & 7).astype(np.uint8)) & 128).all(axis=1)
+                keep = np.flatnonzero(hit).tolist()
+                yield pd.DataFrame(
+                    {"doc_id": [ids[i] for i in keep], "digest": [found[i] for i in keep]}
+                )
 
     return run
 

@@ -10,7 +10,7 @@ line has the label of its document. Decoding covers all lines of all texts.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -230,25 +230,31 @@ _VERDICT = (
 
 
 def judge_udf(model: LineField, share: float = CONTENT_SHARE):
+    names = [c.split()[0] for c in _VERDICT.split(", ")]
+
+    def verdicts(texts: Iterable[str | None]) -> list[tuple]:
+        rows, all_features, all_sizes = [], [], []
+        for text in texts:
+            features, sizes = line_features(text)
+            all_features.extend(features)
+            all_sizes.append(sizes)
+            rows.append(base_counts(text))
+        scores = np.array(all_features) @ model.weights if all_features else np.zeros(0)
+        at, out = 0, []
+        for row, sizes in zip(rows, all_sizes):
+            own = model.decode(scores[at : at + len(sizes)])
+            at += len(sizes)
+            words = row[0]
+            content = sum(s for s, label in zip(sizes, own) if label) / words if words else 0.0
+            out.append((*row, content, not row[5] and content >= share))
+        return out
+
     def judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            rows, all_features, all_sizes = [], [], []
-            for text in batch:
-                features, sizes = line_features(text)
-                all_features.extend(features)
-                all_sizes.append(sizes)
-                rows.append(base_counts(text))
-            scores = (
-                np.array(all_features) @ model.weights if all_features else np.zeros(0)
-            )
-            at, out = 0, []
-            for row, sizes in zip(rows, all_sizes):
-                own = model.decode(scores[at : at + len(sizes)])
-                at += len(sizes)
-                words = row[0]
-                content = sum(s for s, label in zip(sizes, own) if label) / words if words else 0.0
-                out.append((*row, content, not row[5] and content >= share))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _VERDICT.split(", ")])
+            out = []
+            for k in range(0, len(batch), 256):
+                out.extend(verdicts(batch.iloc[k : k + 256]))
+            yield pd.DataFrame(out, columns=names)
 
     judged.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(judged, _VERDICT).asNondeterministic()  # not to be run twice
