@@ -19,6 +19,7 @@ DataFrame functions only: no Python runs on the executors.
 from __future__ import annotations
 
 import functools
+import json
 import math
 from dataclasses import dataclass
 
@@ -35,7 +36,7 @@ TRAIN_DOCS = 20_000
 #: Words that tell toxic texts, at most.
 LEXICON = 128
 LEVELS = 4
-MAX_STEPS = 80
+MAX_STEPS = 60
 TOLERANCE = 1e-5
 
 
@@ -55,24 +56,26 @@ def words_of(text: Column) -> Column:
 def with_cells(docs: DataFrame, text_col: str, lexicon: list[str]) -> tuple[DataFrame, str, str]:
     """Adds two columns and returns their names: tokens (words, 1 at least) and
     cell, one of LEVELS ** 4 combinations of the levels of four text measures."""
-    words, tokens, cell = fresh(docs, "mix_words", "mix_tokens", "mix_cell")
+    names = ("mix_words", "mix_n", "mix_signs", "mix_upper", "mix_distinct", "mix_toxic", "mix_tokens", "mix_cell")
+    words, count, *measures, tokens, cell = fresh(docs, *names)
     text = F.coalesce(F.col(text_col), F.lit(""))
     n = F.greatest(F.size(words), F.lit(1))
-    signs = F.regexp_count(text, F.lit(r"[#*$%&|<>!]")) / n
-    upper = F.regexp_count(text, F.lit(r"[A-Z]")) / F.greatest(F.length(text), F.lit(1))
-    distinct = F.size(F.array_distinct(F.col(words))) / n
-    toxic = (
-        F.size(F.array_intersect(F.col(words), F.array(*map(F.lit, lexicon)))) if lexicon else F.lit(0)
-    )
-    levels = [
-        _level(signs, 0.02, 0.2, 0.8),
-        _level(upper, 0.15, 0.3, 0.5),
-        _level(distinct, 0.1, 0.25, 0.45),
-        _level(toxic, 1, 2, 4),
+    values = [
+        F.regexp_count(text, F.lit(r"[#*$%&|<>!]")) / n,
+        F.regexp_count(text, F.lit(r"[A-Z]")) / F.greatest(F.length(text), F.lit(1)),
+        F.size(F.array_distinct(F.col(words))) / n,
+        (F.size(F.array_intersect(F.col(words), F.array(*map(F.lit, lexicon)))) if lexicon else F.lit(0)).cast("double"),
     ]
+    cuts = ((0.02, 0.2, 0.8), (0.15, 0.3, 0.5), (0.1, 0.25, 0.45), (1, 2, 4))
+    # Expanded from arrays of one element, words and measures are computed once a
+    # row; a filter on the rate would otherwise compute them for every level.
+    out = docs.select("*", F.inline(F.array(F.struct(words_of(F.col(text_col)).alias(words)))))
+    out = out.select("*", F.inline(F.array(F.struct(
+        n.cast("long").alias(count), *(v.alias(name) for v, name in zip(values, measures))
+    )))).drop(words)
+    levels = [_level(F.col(name), *c) for name, c in zip(measures, cuts)]
     number = functools.reduce(lambda a, b: a * LEVELS + b, levels)
-    out = docs.withColumn(words, words_of(F.col(text_col)))
-    return out.withColumns({tokens: n.cast("long"), cell: number}).drop(words), tokens, cell
+    return out.withColumns({tokens: F.col(count), cell: number}).drop(count, *measures), tokens, cell
 
 
 @dataclass
@@ -140,27 +143,47 @@ def fit_classifier(
     return Classifier(lexicon, posteriors)
 
 
-def rate_column(posteriors: list[Column], pulls: list[list[float]]) -> Column:
-    """The rate after the given steps, each a list of pulls, one per domain."""
-    if not pulls:
-        return F.lit(1.0)
-    steps = F.array(*(F.array(*map(F.lit, p)) for p in pulls))
+@dataclass
+class Step:
+    """A move against the pull of each domain, then on by a part of what moved."""
+
+    pull: list[float]
+    momentum: float = 0.0
+
+
+def _folded(posteriors: list[Column], steps: list[Step]) -> Column:
+    """(rate, ahead) after the steps: rate is projected, ahead is where the next
+    step starts."""
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    if not steps:
+        return start
+    # As one text, which the optimizer turns into a constant.
+    text = json.dumps([[*map(float, s.pull), s.momentum] for s in steps])
+    past = F.from_json(F.lit(text), "array<array<double>>")
 
-    def step(rate: Column, pull: Column) -> Column:
-        moved = rate
+    def step(state: Column, move: Column) -> Column:
+        moved = state["ahead"]
         for d, p in enumerate(posteriors):
-            moved = moved - p * pull[d]
-        return F.greatest(F.lit(0.0), moved)
+            moved = moved - p * move[d]
+        rate = F.greatest(F.lit(0.0), moved)
+        return F.struct(
+            rate.alias("rate"), (rate + move[len(posteriors)] * (rate - state["rate"])).alias("ahead")
+        )
+
+    return F.aggregate(past, start, step)
 
-    return F.aggregate(steps, F.lit(1.0), step)
+
+def rate_column(posteriors: list[Column], steps: list[Step]) -> Column:
+    """The rate of a document after the given steps."""
+    return _folded(posteriors, steps)["rate"]
 
 
 def fit_rates(
     members: DataFrame, tokens: str, posteriors: list[str], targets: list[float],
     total: float | None = None, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE,
     whole: int | None = None,
-) -> tuple[list[list[float]], list[float], list[float]]:
-    """(pulls of each step, expected tokens, wanted tokens).
+) -> tuple[list[Step], list[float], list[float]]:
+    """(steps, expected tokens, wanted tokens).
 
     ``targets`` are shares; they are of ``total`` tokens, by default all that
     there are, or, with ``whole`` the number of a domain, of so many that this
@@ -176,43 +199,58 @@ def fit_rates(
     p = [F.col(f"p{d}") for d in domains]
     size = len(posteriors)
 
-    def measure(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
-        """Expected tokens, and the Gram matrix of what has a rate above zero."""
-        rated = classes.select("t", *p, rate_column(p, steps).alias("r"))
-        live = F.when(F.col("r") > 0, F.col("t"))
-        row = rated.agg(
-            *(F.coalesce(F.sum(F.col("r") * F.col("t") * p[a]), F.lit(0.0)) for a in domains),
+    def measure(steps: list[Step]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected tokens, those where the next step starts, and the Gram matrix
+        of what has a rate above zero."""
+        state = classes.select("t", *p, _folded(p, steps).alias("s")).select("t", *p, "s.*")
+        live = F.when(F.col("rate") > 0, F.col("t"))
+        row = state.agg(
+            *(F.coalesce(F.sum(F.col(of) * F.col("t") * p[a]), F.lit(0.0)) for of in ("rate", "ahead") for a in domains),
             *(F.coalesce(F.sum(live * p[a] * p[b]), F.lit(0.0)) for a in domains for b in domains),
         ).first()
-        return np.array(row[:size]), np.array(row[size:]).reshape(size, size)
+        return np.array(row[:size]), np.array(row[size : 2 * size]), np.array(row[2 * size :]).reshape(size, size)
 
     def inverse(gram: np.ndarray) -> np.ndarray:
         return np.linalg.pinv(gram, rcond=1e-9, hermitian=True)  # domains x domains
 
-    pulls: list[list[float]] = []
-    expected, gram = measure(pulls)
+    steps: list[Step] = []
+    expected, ahead, gram = measure(steps)
     share = np.array(targets) / sum(targets)
     if whole is not None and share[whole] > 0:
         total = 1.02 * expected[whole] / share[whole]
     total = expected.sum() if total is None else total
     wanted = share * total
-    fixed = inverse(gram)
-    metric, gap = fixed, expected - wanted
-    for _ in range(max_steps):
-        if np.abs(gap).max() <= tolerance * max(1.0, total):
+    near = tolerance * max(1.0, total)
+    metric = fixed = inverse(gram)
+
+    def loss(tokens: np.ndarray) -> float:
+        return float((tokens - wanted) @ fixed @ (tokens - wanted))
+
+    # Long steps, in the metric of the documents with a rate, while they help much.
+    while len(steps) < max_steps and np.abs(expected - wanted).max() > near:
+        tried = [*steps, Step((metric @ (expected - wanted)).tolist())]
+        found = measure(tried)
+        if loss(found[0]) > loss(expected) / 4:
             break
-        tried = [*pulls, (metric @ gap).tolist()]
-        expected, gram = measure(tried)
-        new = expected - wanted
-        gain = gap @ fixed @ gap - new @ fixed @ new
-        if gain <= 0 and metric is not fixed:
-            metric = fixed  # the step was too long: again with the metric that is always safe
-            continue
-        pulls, gap = tried, new
-        if gain <= tolerance**2 * max(1.0, total):
-            break  # as near as rates of zero and more can come
+        steps, (expected, ahead, gram) = tried, found
         metric = inverse(gram)
-    return pulls, (gap + wanted).tolist(), wanted.tolist()
+    # Steps that are safe in any case, with momentum; it restarts when they lead astray.
+    speed, losses = 1.0, [loss(expected)]
+    while len(steps) < max_steps and np.abs(expected - wanted).max() > near:
+        faster = (1 + math.sqrt(1 + 4 * speed**2)) / 2
+        tried = [*steps, Step((fixed @ (ahead - wanted)).tolist(), (speed - 1) / faster)]
+        found = measure(tried)
+        if loss(found[0]) > losses[-1]:
+            if speed == 1.0:
+                break  # not even a step without momentum helps: this is the least
+            steps[-1].momentum, speed = 0.0, 1.0
+            ahead = expected
+            continue
+        steps, (expected, ahead, gram), speed = tried, found, faster
+        losses.append(loss(expected))
+        if len(losses) > 20 and losses[-1] > losses[-20] * (1 - tolerance):
+            break
+    return steps, expected.tolist(), wanted.tolist()
 
 
 def mix(
@@ -237,7 +275,7 @@ def mix(
         ),
         "mix-cells",
     )
-    pulls, _, _ = fit_rates(
+    steps, _, _ = fit_rates(
         members, "tokens", [f"p{d}" for d in range(len(DOMAINS))], [targets[d] for d in DOMAINS],
         whole=None if whole is None else DOMAINS.index(whole),
     )
@@ -246,7 +284,7 @@ def mix(
         r[0]: r[1:] for r in docs.sparkSession.range(len(model.posteriors)).select(
             F.col("id").cast("int").alias("id")
         ).select("id", *model.columns("id")).toDF("id", *(f"p{d}" for d in range(len(DOMAINS))))
-        .select("id", rate_column([F.col(f"p{d}") for d in range(len(DOMAINS))], pulls)).collect()
+        .select("id", rate_column([F.col(f"p{d}") for d in range(len(DOMAINS))], steps)).collect()
     }
     by_cell = F.array(*(F.lit(float(rates[c][0])) for c in range(len(model.posteriors))))
     out = out.withColumns(
