@@ -5,8 +5,9 @@ patterns propose candidates (secrets, disguised emails, long numbers), on which
 labelers vote for, against or not at all: patterns, checksums, gazetteers,
 contexts, boundaries and shapes. Expectation-maximisation over the counts of all
 vote patterns of the corpus estimates how reliable each labeler is; its
-posteriors train a logistic span classifier on at most ``TRAIN_SPANS``
-candidates. Candidates that it accepts are added; base spans always stay.
+posteriors train a logistic span classifier on all candidates: each Newton step
+is summed over the distinct feature vectors, weighted by their counts. Candidates
+that it accepts are added; base spans always stay.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 
 from millpulse.llm.common import stored, table
 
-TRAIN_SPANS = 20_000
 ACCEPT = 0.5
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
@@ -199,20 +199,50 @@ def estimate(counts: dict[tuple[int, ...], int], rounds: int = 100) -> dict[tupl
     return dict(zip(patterns, new.tolist()))
 
 
-def fit_classifier(rows: list[tuple[list[float], float]], steps: int = 300) -> np.ndarray:
-    """Logistic regression on soft labels, with a small L2 penalty, by Newton steps."""
-    if not rows:
-        return np.zeros(0)
-    x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-    w = np.zeros(x.shape[1])
-    for _ in range(min(steps, 25)):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (y - p) - 1.0 * w
-        curve = (x.T * np.maximum(p * (1 - p), 1e-6)) @ x + np.eye(len(w))
-        change = np.linalg.solve(curve, gradient)
-        w += change
-        if np.abs(change).max() < 1e-6:
+def measures(x: np.ndarray, y: np.ndarray, n: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Logistic loss, gradient and curvature of weighted rows with soft labels, as one array."""
+    z = x @ w
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    curve = (x.T * (n * np.maximum(p * (1 - p), 1e-6))) @ x
+    return np.concatenate([[n @ (np.logaddexp(0, z) - y * z)], x.T @ (n * (y - p)), curve.ravel()])
+
+
+def _measured(vectors: DataFrame, belief: dict[tuple[int, ...], float]):
+    """The measures of all vectors at given weights; each task returns one row."""
+    size = len(features("", KINDS[0], (0,) * len(LABELERS)))
+
+    def at(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(1 + size + size * size)
+            for batch in batches:
+                if len(batch):
+                    y = np.array([belief[tuple(v)] for v in batch["votes"]])
+                    total += measures(np.stack(batch["features"]), y, batch["n"].to_numpy(dtype=float), w)
+            yield pd.DataFrame({"sums": [total.tolist()]})
+
+        found = vectors.select("votes", "features", "n").mapInPandas(run, "sums array<double>").collect()
+        return np.sum([r.sums for r in found], axis=0) if found else np.zeros(1 + size + size * size)
+
+    return at, size
+
+
+def fit_classifier(at, size: int, steps: int = 100) -> np.ndarray:
+    """Logistic regression with a small L2 penalty by Newton steps; a step that
+    does not gain is halved. ``at`` gives the measures at weights."""
+    w = np.zeros(size)
+    now = at(w)
+    for _ in range(steps):
+        curve = now[1 + size :].reshape(size, size) + np.eye(size)
+        change = np.linalg.solve(curve, now[1 : 1 + size] - w)
+        loss = now[0] + w @ w / 2
+        while np.abs(change).max() >= 1e-6:
+            new = at(w + change)
+            if new[0] + (w + change) @ (w + change) / 2 <= loss:
+                break
+            change /= 2
+        else:
             break
+        w, now = w + change, new
     return w
 
 
@@ -275,14 +305,13 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "pii-candidates",
     )
     spans = rows.select(F.explode("spans").alias("s")).select("s.*")
+    vectors = stored(
+        spans.groupBy("votes", "features").agg(F.count("*").alias("n")), "pii-vectors"
+    )
     # 3 ** len(LABELERS) rows at most
-    counts = {tuple(r.votes): r["count"] for r in spans.groupBy("votes").count().collect()}
+    counts = {tuple(r.votes): r.n for r in vectors.groupBy("votes").agg(F.sum("n").alias("n")).collect()}
     belief = estimate(counts)
-    sample = (
-        spans.select("votes", "features").orderBy(F.xxhash64("features", "votes"), "features")
-        .limit(TRAIN_SPANS).collect()
-    )
-    weights = fit_classifier([(list(r.features), belief[tuple(r.votes)]) for r in sample])
+    weights = fit_classifier(*_measured(vectors, belief)) if belief else np.zeros(0)
     return rows.select(
         "doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_text",
         F.sha2("base_text", 256).alias("base_sha256"),
