@@ -21,6 +21,7 @@ from millpulse.sinks.batch_tables import (
     PARTIALS,
     QUARANTINED,
     READINGS,
+    STATES,
     BatchId,
     BatchTable,
     CatalogTable,
@@ -38,7 +39,7 @@ from millpulse.streaming.ingest import (
     start_ingest,
 )
 from millpulse.streaming.monitor import start_monitor
-from millpulse.streaming.windows import LATE_BOUND, LateRows, start_windowed
+from millpulse.streaming.windows import LATE_BOUND, LateRows, latest_windows, start_windowed
 
 READING_REPORTS = {
     "temperature_trend": reports.temperature_trend,
@@ -53,6 +54,8 @@ READING_REPORTS = {
     "sample_readings": lambda rows: reports.sample_readings(rows, "event_time", "machine_id"),
 }
 METRIC_REPORTS = {"high_fault_windows": reports.high_fault_windows}
+#: Reports of the latest rows, which walk the days of a table from the newest.
+NEWEST_FIRST = ("recent_high_risk", "recent_risk_or_fault")
 
 
 def _table(args, name: str, folder: str, layout: TableLayout) -> BatchTable:
@@ -72,6 +75,16 @@ def _tables(args) -> IngestTargets:
     )
 
 
+def _states(args) -> BatchTable:
+    return _table(args, ddl.WINDOW_STATES, "window_states", STATES)
+
+
+def _stored(args) -> tuple[tuple[BatchTable, str], ...]:
+    """The tables that reports read, and the folder of each."""
+    tables = _tables(args)
+    return (tables.readings, "readings"), (tables.partials, "partials"), (_states(args), "window_states")
+
+
 def _messages(spark: SparkSession, args) -> DataFrame:
     if args.kafka:
         options = kafka_options(
@@ -82,7 +95,7 @@ def _messages(spark: SparkSession, args) -> DataFrame:
             min_partitions=args.min_partitions,
         )
         return kafka_messages(spark, options)
-    return file_messages(spark, args.messages, args.max_per_trigger)
+    return file_messages(spark, args.messages, args.max_per_trigger, args.max_bytes_per_trigger)
 
 
 def _trigger(args) -> dict:
@@ -134,7 +147,7 @@ def windows(spark: SparkSession, args) -> None:
     try:
         query = start_windowed(
             enriched_stream(_messages(spark, args)),
-            _table(args, ddl.WINDOW_STATES, "window_states", PARTIALS),
+            _states(args),
             args.checkpoint,
             _trigger(args),
             args.delay,
@@ -154,7 +167,7 @@ def monitor(spark: SparkSession, args) -> None:
 
 def publish(spark: SparkSession, args) -> None:
     typed = encode.typed_rows(
-        read_csv_rows(spark, args.csv), timestamp_format=args.timestamp_format
+        read_csv_rows(spark, args.csv, args.one_header), timestamp_format=args.timestamp_format
     )
     rows = encode.accepted_rows(typed)
     rows = encode.assign_machine(rows, args.machines, *rows.columns)
@@ -178,48 +191,67 @@ def _show(result: DataFrame, args) -> None:
         result.show(args.rows, truncate=False)
 
 
+def _metrics(rows: DataFrame, layout: TableLayout) -> DataFrame:
+    return latest_windows(rows) if layout is STATES else merged_window_metrics(rows)
+
+
 def report(spark: SparkSession, args) -> None:
-    """A named report; rows of compacted days come from the compacted tables."""
-    tables = _tables(args)
+    """A named report; rows of compacted days come from the compacted tables. With
+    --windows, metrics are those of the stored window states."""
+    readings, partials, states = _stored(args)
     of_metrics = args.name in METRIC_REPORTS
-    table, folder = (tables.partials, "partials") if of_metrics else (tables.readings, "readings")
+    table, folder = (states if args.windows else partials) if of_metrics else readings
+    root = _compacted(args, folder)
+    if args.name in NEWEST_FIRST and not (args.start or args.end):
+        known = {*table.days(spark), *compaction.days(spark, table.layout, root)}
+        result = reports.newest_first(
+            known,
+            lambda since, until: compaction.read_days(spark, table, root, since, until),
+            READING_REPORTS[args.name],
+            reports.RECENT_LIMIT,
+        )
+        return _show(result, args)
     if args.start and args.end:
         until = args.end.date() + dt.timedelta(days=1)
         live = table.read_days(spark, args.start.date(), until)
     else:
         live = table.read(spark)
-    rows = compaction.read_rows(live, table.layout, _compacted(args, folder))
+    rows = compaction.read_rows(live, table.layout, root)
     if of_metrics:
         rows = in_time_range(rows, args.start, args.end, "window_start", "window_date")
-        result = METRIC_REPORTS[args.name](merged_window_metrics(rows))
+        result = METRIC_REPORTS[args.name](_metrics(rows, table.layout))
     else:
         result = READING_REPORTS[args.name](in_time_range(rows, args.start, args.end))
     _show(result, args)
 
 
 def sql(spark: SparkSession, args) -> None:
-    """A statement over the views sensor_readings and sensor_metrics of this session."""
-    tables = _tables(args)
+    """A statement over the views sensor_readings, sensor_metrics and sensor_windows,
+    which live in a session of their own: the caller's names stay what they are."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
     ddl.register_views(
         *(
-            compaction.read_rows(table.read(spark), table.layout, _compacted(args, folder))
-            for table, folder in ((tables.readings, "readings"), (tables.partials, "partials"))
+            compaction.read_rows(table.read(session), table.layout, _compacted(args, folder))
+            for table, folder in _stored(args)
         )
     )
-    _show(spark.sql(args.statement), args)
+    _show(session.sql(args.statement), args)
 
 
 def compact(spark: SparkSession, args) -> None:
-    """Closed days into few files; with --retire, delete the live batches they hold."""
-    tables = _tables(args)
-    for table, folder in ((tables.readings, "readings"), (tables.partials, "partials")):
+    """Closed days into few files; with --retire, delete the live batches they hold
+    once they have been listed for the grace period."""
+    for table, folder in _stored(args):
         live = (
             table.read(spark) if args.since is None else table.read_days(spark, args.since, args.before)
         )
         root = _compacted(args, folder)
         compaction.compact(live, table.layout, root, args.before, args.since)
         if args.retire:
-            compaction.retire(spark, table, root)
+            compaction.retire(spark, table, root, dt.timedelta(hours=args.grace_hours))
 
 
 def upgrade(spark: SparkSession, args) -> None:
@@ -270,7 +302,8 @@ def _parser() -> argparse.ArgumentParser:
 
     def stream(sub):
         sub.add_argument("--starting-offsets", default="latest")
-        sub.add_argument("--max-per-trigger", type=int)
+        sub.add_argument("--max-per-trigger", type=int, help="offsets or files of a step")
+        sub.add_argument("--max-bytes-per-trigger", help="size of a step's files, such as 10g")
         sub.add_argument("--min-partitions", type=int, help="tasks that read the topic, at least")
         sub.add_argument("--once", action="store_true", help="stop when caught up")
 
@@ -304,10 +337,12 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--machines", type=int, default=5)
     sub.add_argument("--timestamp-format")
     sub.add_argument("--rejects", help="folder for rows that could not be read")
+    sub.add_argument("--one-header", action="store_true", help="all files have the header of the first")
 
     sub = command(report, stored, shown)
     sub.add_argument("--branch", help="branch or tag of a versioned catalog")
     sub.add_argument("name", choices=[*READING_REPORTS, *METRIC_REPORTS])
+    sub.add_argument("--windows", action="store_true", help="metrics of the stored window states")
     sub.add_argument("--start", type=dt.datetime.fromisoformat)
     sub.add_argument("--end", type=dt.datetime.fromisoformat)
     sub.add_argument("--compacted", help="folder that compact has written")
@@ -322,6 +357,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--before", type=dt.date.fromisoformat, required=True)
     sub.add_argument("--since", type=dt.date.fromisoformat)
     sub.add_argument("--retire", action="store_true", help="delete live batches that are compacted")
+    sub.add_argument("--grace-hours", type=float, default=24.0, help="how long readers may need batches listed as compacted")
 
     sub = command(upgrade)
     sub.add_argument("--database", required=True)

@@ -85,6 +85,13 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     return partials.groupBy(*GROUP).agg(*merged)
 
 
+def newest_states(states: DataFrame) -> DataFrame:
+    """Of each stream the newest state of each window: states replace each other."""
+    own = [c for c in states.columns if c not in (*GROUP, "stream_id")]
+    newest = states.groupBy("stream_id", *GROUP).agg(F.max_by(F.struct(*own), "batch_id").alias("state"))
+    return newest.select("stream_id", *GROUP, "state.*")
+
+
 def finish(partials: DataFrame) -> DataFrame:
     """Parts, one row per (window, machine), to the metric columns. No shuffle."""
     present = [n for n in METRIC.names if n in _FINAL or n in partials.columns]
@@ -98,6 +105,13 @@ def merge_sql(source: str) -> str:
     return f"SELECT {', '.join(f'{_FINAL.get(n, n)} AS {n}' for n in METRIC.names)} FROM ({merged})"
 
 
+def states_sql(source: str) -> str:
+    """``merge_sql`` over the newest states of a stored table of window states."""
+    parts, group = ", ".join([*_parts(), "processing_time"]), ", ".join(GROUP)
+    newest = f"SELECT {group}, max_by(struct({parts}), batch_id) AS state FROM {source} GROUP BY stream_id, {group}"
+    return merge_sql(f"(SELECT {group}, state.* FROM ({newest}))")
+
+
 def window_metrics(readings: DataFrame, length: str = WINDOW_LENGTH) -> DataFrame:
     """Metrics of all ``readings``, one row per (window, machine), one shuffle."""
     return finish(metric_partials(readings, length))

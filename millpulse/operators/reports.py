@@ -7,6 +7,7 @@ projection and predicates reach the file scan.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,6 +101,37 @@ def recent_risk_or_fault(readings: DataFrame, limit: int = RECENT_LIMIT) -> Data
     return recent_high_risk(readings, limit, include_faults=True)
 
 
+#: How many times more days are read when the newest ones held too few rows.
+WIDER = 4
+
+
+def newest_first(
+    days: Iterable[dt.date],
+    read: Callable[[dt.date, dt.date], DataFrame],
+    pick: Callable[[DataFrame], DataFrame],
+    limit: int,
+    time: str = "event_time",
+) -> DataFrame:
+    """``pick`` of a table by days, reading as few of the newest days as it takes.
+
+    ``days`` are all the days that have rows, ``read`` gives the rows of [since,
+    until) and those without a day, ``pick`` orders by ``time``, newest first, and
+    takes ``limit`` rows. The newest day is read, then four, sixteen and so on,
+    until so many rows with a time are found that no older day can have a better
+    one. In the worst case, when such rows are rare, days are read by a third more
+    than once.
+    """
+    known = sorted(set(days), reverse=True)
+    if not known:
+        return pick(read(dt.date.min, dt.date.min))
+    until, n = known[0] + dt.timedelta(days=1), 1
+    while True:
+        rows = pick(read(known[min(n, len(known)) - 1], until))
+        if n >= len(known) or rows.filter(F.col(time).isNotNull()).count() >= limit:
+            return rows
+        n *= WIDER
+
+
 def high_fault_windows(
     metrics: DataFrame, threshold: float = FAULT_PERCENTAGE_LIMIT
 ) -> DataFrame:

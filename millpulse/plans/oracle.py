@@ -191,6 +191,7 @@ SELECT "hour", round(avg(temperature_c), 6) AS avg_temperature,
 FROM r GROUP BY "hour" ORDER BY "hour"
 """,
     "recent_high_risk": _READINGS + _RECENT.format(more=""),
+    "stored_recent_high_risk": _READINGS + _RECENT.format(more=""),
     "recent_risk_or_fault": _READINGS + _RECENT.format(more="OR is_fault"),
     "daily_temperature_stats": _READINGS + """
 SELECT "date", machine_id, round(avg(temperature_c), 6) AS avg_temperature,
@@ -236,6 +237,7 @@ FROM r
     "ingested_quarantine": f"SELECT reason, count(*) AS messages FROM ({_REASON}) GROUP BY reason",
     "stream_window_metrics": _METRICS
     + " WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 minutes FROM r)",
+    "windowed_table_metrics": _METRICS,
     "catalog_readings_in_range": _READINGS + """
 SELECT event_time, "date", machine_id, temperature_c, vibration_mms, pressure_bar, time_window
 FROM r, (SELECT min(event_time)::DATE AS a, max(event_time)::DATE AS b FROM r) d

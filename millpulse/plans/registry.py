@@ -9,6 +9,7 @@ the partitioning).
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from collections.abc import Callable
 
@@ -202,6 +203,20 @@ def recent_high_risk(spark: SparkSession, folder: str) -> DataFrame:
     return reports.recent_high_risk(_readings(spark, folder))
 
 
+@query
+def stored_recent_high_risk(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a table by days, of which the newest are read first."""
+    table = batch_tables.PathTable(f"{scratch_path(spark, 'recent')}/readings", batch_tables.READINGS)
+    rows = enrich.enrich(_events(spark, folder).select(*EVENT.names))
+    table.replace_batch(rows, batch_tables.BatchId("check", 0), rebalance=True)
+    return _plain(
+        reports.newest_first(
+            table.days(spark), lambda since, until: table.read_days(spark, since, until),
+            reports.recent_high_risk, reports.RECENT_LIMIT,
+        )
+    )
+
+
 @query
 def recent_risk_or_fault(spark: SparkSession, folder: str) -> DataFrame:
     return reports.recent_risk_or_fault(_readings(spark, folder))
@@ -266,7 +281,11 @@ def aggregates_v1_to_metrics(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams and tables ---------------------------------------------------
 
 
+#: A topic is published in files of so many messages, at least two for each step,
+#: and read in steps of at most so many bytes, four of them at least.
+FILE_MESSAGES = 200_000
 STEPS = 4
+STEP_BYTES = 1 << 30
 
 
 def _days(spark: SparkSession, folder: str) -> tuple[dt.date, dt.date]:
@@ -290,10 +309,18 @@ def _targets(root: str, quarantine: bool = False) -> IngestTargets:
     )
 
 
-def _ingest(spark: SparkSession, topic: str, targets: IngestTargets, checkpoint: str) -> None:
-    """One file of the topic in each step; a step may hold many days."""
+def _files(messages: DataFrame, steps: int = STEPS) -> int:
+    """Number of files of a topic, by the number of its messages."""
+    return max(2 * steps, math.ceil(messages.count() / FILE_MESSAGES))
+
+
+def _ingest(
+    spark: SparkSession, topic: str, targets: IngestTargets, checkpoint: str, steps: int = STEPS
+) -> None:
+    """The topic in steps by bytes, each of several files; a step may hold many days."""
+    size = spark.read.format("binaryFile").load(topic).select("length").agg(F.sum("length")).first()[0]
     start_ingest(
-        file_messages(spark, topic, max_files_per_trigger=1),
+        file_messages(spark, topic, max_bytes_per_trigger=min(STEP_BYTES, math.ceil(size / steps) + 1)),
         targets,
         checkpoint,
         trigger={"availableNow": True},
@@ -315,13 +342,14 @@ def _ingested(
         messages = events.select(
             "event_id", F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value")
         )
-        publish_files(messages.repartitionByRange(STEPS, "event_id"), f"{root}/topic")
+        publish_files(messages.repartitionByRange(_files(events), "event_id"), f"{root}/topic")
     else:
         rows = _message_rows(spark, folder)
+        files = _files(rows)
         if in_order:
-            rows = rows.repartitionByRange(STEPS, "row_time")
+            rows = rows.repartitionByRange(files, "row_time")
         messages = encode.encode_messages(rows)
-        publish_files(messages, f"{root}/topic", None if in_order else STEPS)
+        publish_files(messages, f"{root}/topic", None if in_order else files)
     targets = _targets(root, quarantine)
     _ingest(spark, f"{root}/topic", targets, f"{root}/checkpoint")
     return targets
@@ -345,9 +373,10 @@ def two_streams_readings(spark: SparkSession, folder: str) -> DataFrame:
     targets = _targets(root)
     rows = _message_rows(spark, folder)
     for part in (0, 1):
-        half = rows.filter(F.col("event_id") % 2 == part).repartitionByRange(2, "row_time")
+        half = rows.filter(F.col("event_id") % 2 == part)
+        half = half.repartitionByRange(_files(half, 2), "row_time")
         publish_files(encode.encode_messages(half), f"{root}/topic-{part}")
-        _ingest(spark, f"{root}/topic-{part}", targets, f"{root}/checkpoint-{part}")
+        _ingest(spark, f"{root}/topic-{part}", targets, f"{root}/checkpoint-{part}", 2)
     return _stored_readings(targets, spark)
 
 
@@ -366,9 +395,10 @@ def compacted_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
     targets, cutoff = _targets(root), _middle(spark, folder)
     rows = _message_rows(spark, folder)
     for part, chosen in (("first", F.col("event_id") % 3 > 0), ("late", F.col("event_id") % 3 == 0)):
-        messages = rows.filter(chosen).repartitionByRange(2, "row_time")
+        messages = rows.filter(chosen)
+        messages = messages.repartitionByRange(_files(messages, 2), "row_time")
         publish_files(encode.encode_messages(messages), f"{root}/topic-{part}")
-        _ingest(spark, f"{root}/topic-{part}", targets, f"{root}/checkpoint-{part}")
+        _ingest(spark, f"{root}/topic-{part}", targets, f"{root}/checkpoint-{part}", 2)
         if part == "first":
             live = targets.partials.read(spark)
             compaction.compact(live, batch_tables.PARTIALS, f"{root}/closed", cutoff)
@@ -384,26 +414,36 @@ def ingested_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return kept.unionByName(rejected).groupBy("reason").agg(F.count("*").alias("messages"))
 
 
+def _event_steps(spark: SparkSession, folder: str, events: DataFrame, path: str) -> int:
+    """Write events in steps of rising time, each of as many files, one step after
+    the other: streams read files by age. Returns the number of files of a step."""
+    count = events.count()
+    files = max(2, math.ceil(count / STEPS / FILE_MESSAGES))
+    cuts = events.select(F.expr("ts::timestamp").alias("ts")).selectExpr(
+        f"approx_percentile(ts, array({', '.join(str(k / STEPS) for k in range(1, STEPS))})) AS cuts"
+    ).first()["cuts"] or []
+    step = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: F.expr("ts::timestamp") > cut)) if cuts else F.lit(0)
+    for number in range(STEPS):
+        part = events.filter(step == number)
+        part.repartition(files).write.mode("append").parquet(path)
+    return files
+
+
+def _event_stream(spark: SparkSession, path: str, files: int) -> DataFrame:
+    stream = spark.readStream.schema(ev.EVENTS).option("maxFilesPerTrigger", files).parquet(path)
+    fields = ev.event_fields(stream.withColumn("ts", F.col("ts").cast("timestamp")))
+    return enrich.derive(fields).withColumn("processing_time", F.current_timestamp())
+
+
 @query
 def stream_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Windows that the watermark has closed, over the events in steps of rising
     time. The last ones stay open: more rows for them could come."""
     root = scratch_path(spark, "windows")
-    events = ev.read_events(spark, folder).repartitionByRange(STEPS, "ts")
-    events = events.withColumn("step", F.spark_partition_id())
-    events.write.partitionBy("step").parquet(f"{root}/steps")
-    for step in range(STEPS):  # one file each, one after the other: streams read files by age
-        part = spark.read.schema(ev.EVENTS).parquet(f"{root}/steps").filter(F.col("step") == step)
-        part.drop("step").coalesce(1).write.mode("append").parquet(f"{root}/events")
-    stream = (
-        spark.readStream.schema(ev.EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
-    )
-    readings = enrich.derive(
-        ev.event_fields(stream.withColumn("ts", F.col("ts").cast("timestamp")))
-    ).withColumn("processing_time", F.current_timestamp())
-    target = batch_tables.PathTable(f"{root}/states", batch_tables.PARTIALS)
+    files = _event_steps(spark, folder, ev.read_events(spark, folder), f"{root}/events")
+    target = batch_tables.PathTable(f"{root}/states", batch_tables.STATES)
     windows.start_windowed(
-        readings,
+        _event_stream(spark, f"{root}/events", files),
         target,
         f"{root}/checkpoint",
         trigger={"availableNow": True},
@@ -413,6 +453,36 @@ def stream_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _metric_columns(windows.latest_windows(target.read(spark)))
 
 
+@query
+def windowed_table_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics of all windows from the table of window states. Two streams keep
+    states of the same windows, each is stopped after half of its events and started
+    again; between the halves, closed days are compacted to their newest states and
+    what went in is retired."""
+    root = scratch_path(spark, "windowed-table")
+    table = batch_tables.PathTable(f"{root}/states", batch_tables.STATES)
+    events, cutoff = ev.read_events(spark, folder), _middle(spark, folder)
+    for half in ("first", "second"):
+        for stream in (0, 1):
+            own = F.col("event_id") % 2 == stream
+            early = F.col("event_id") % 5 < 3
+            part = events.filter(own & (early if half == "first" else ~early))
+            files = _event_steps(spark, folder, part, f"{root}/events-{stream}")
+            windows.start_windowed(
+                _event_stream(spark, f"{root}/events-{stream}", 2 * files),
+                table,
+                f"{root}/checkpoint-{stream}",
+                trigger={"availableNow": True},
+                delay="4000 days",
+                state_partitions=spark.sparkContext.defaultParallelism,
+            ).awaitTermination()
+        if half == "first":
+            compaction.compact(table.read(spark), table.layout, f"{root}/closed", cutoff)
+            compaction.retire(spark, table, f"{root}/closed")
+    states = compaction.read_rows(table.read(spark), table.layout, f"{root}/closed")
+    return _metric_columns(windows.latest_windows(states))
+
+
 def _from_catalog(
     spark: SparkSession,
     folder: str,

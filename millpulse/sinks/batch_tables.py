@@ -10,6 +10,9 @@ stream id and are never touched.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -26,15 +29,24 @@ _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 @dataclass(frozen=True)
 class TableLayout:
-    """Columns of a table, its day partition and the order of rows in a file."""
+    """Columns of a table, its day partition, the order of rows in a file, and what
+    compaction does with rows of one window: ``none``, ``parts`` that add up, or
+    states of which only the ``newest`` of each stream counts."""
 
     schema: T.StructType
     day: str
     cluster: tuple[str, ...]
+    merge: str = "none"
+
+    @property
+    def kept(self) -> list[str]:
+        """Columns of compacted rows. States keep their batch: a newer one may come."""
+        return [*self.schema.names, *(BATCH_KEY if self.merge == "newest" else ())]
 
 
 READINGS = TableLayout(READING, "date", ("machine_id", "event_time"))
-PARTIALS = TableLayout(METRIC_PARTIAL, "window_date", ("machine_id", "window_start"))
+PARTIALS = TableLayout(METRIC_PARTIAL, "window_date", ("machine_id", "window_start"), "parts")
+STATES = TableLayout(METRIC_PARTIAL, "window_date", ("machine_id", "window_start"), "newest")
 QUARANTINED = TableLayout(QUARANTINE, "quarantine_date", ("reason",))
 
 
@@ -89,7 +101,28 @@ class PathTable:
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(with_batch_key(self.layout.schema)).parquet(self.root)
+        """All rows; none if nothing is stored yet."""
+        return self._read(spark, self.root)
+
+    def _read(self, spark: SparkSession, folders: str) -> DataFrame:
+        schema = with_batch_key(self.layout.schema)
+        try:
+            return spark.read.schema(schema).option("basePath", self.root).parquet(folders)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            folders_last = (self.layout.day, *BATCH_KEY)
+            names = [c for c in schema.names if c not in folders_last]
+            return spark.createDataFrame([], schema).select(*names, *folders_last)
+
+    def days(self, spark: SparkSession) -> list[dt.date]:
+        """Days that have a folder: one listing, no file is opened."""
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return sorted(_days_in(name.removeprefix(f"{self.layout.day}=") for name in names))
 
     def read_days(self, spark: SparkSession, since: dt.date, until: dt.date) -> DataFrame:
         """Rows of the days in [since, until), and those without a day; none if
@@ -100,27 +133,65 @@ class PathTable:
         read a few takes longer than reading. Of a long range the whole table is
         listed, and days outside of it are pruned.
         """
-        schema = with_batch_key(self.layout.schema)
         if (until - since).days > self.LISTED_DAYS:
             return _within(self.read(spark), self.layout.day, since, until)
         days = [str(since + dt.timedelta(days=i)) for i in range((until - since).days)]
-        folders = f"{self.root}/{self.layout.day}={{{','.join([*days, _NO_DAY])}}}"
-        try:
-            return spark.read.schema(schema).option("basePath", self.root).parquet(folders)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            folders_last = (self.layout.day, *BATCH_KEY)
-            names = [c for c in schema.names if c not in folders_last]
-            return spark.createDataFrame([], schema).select(*names, *folders_last)
+        return self._read(spark, f"{self.root}/{self.layout.day}={{{','.join([*days, _NO_DAY])}}}")
 
     def drop_batches(self, spark: SparkSession, batches: list[tuple[dt.date, str, int]]) -> None:
-        """Delete the folders of the given (day, stream, batch)."""
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for day, stream, number in batches:
-            folder = f"{self.root}/{self.layout.day}={day}/stream_id={stream}/batch_id={number}"
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+        """Delete the folders of the given (day, stream, batch), many at a time."""
+        name = _folder_names(spark)
+        delete_folders(
+            spark,
+            [
+                f"{self.root}/{self.layout.day}={day}/stream_id={name(stream)}/batch_id={number}"
+                for day, stream, number in batches
+            ],
+        )
+
+
+#: Folders deleted at a time. A store answers each call slowly, but many at once.
+DELETERS = 32
+#: Partitions named in one statement.
+NAMED_PARTITIONS = 500
+
+
+def _folder_names(spark: SparkSession):
+    """How a partition value is spelled in a folder name."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+
+
+def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def delete(folder: str) -> None:
+        path = path_of(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+    with ThreadPoolExecutor(DELETERS) as pool:
+        for _ in pool.map(delete, folders):
+            pass
+
+
+def _days_in(names: Iterable[str]) -> set[dt.date]:
+    found = set()
+    for name in names:
+        try:
+            found.add(dt.date.fromisoformat(name))
+        except ValueError:  # the folder of rows without a day, or a file beside the folders
+            continue
+    return found
+
+
+def batch_ranges(batches: Iterable[tuple[dt.date, str, int]]) -> Iterator[tuple[str, dt.date, int, int]]:
+    """(stream, day, first, last) of consecutive batch numbers."""
+    by = sorted((stream, day, number) for day, stream, number in batches)
+    for (stream, day, _), run in itertools.groupby(
+        enumerate(by), lambda item: (item[1][0], item[1][1], item[1][2] - item[0])
+    ):
+        numbers = [number for _, (_, _, number) in run]
+        yield stream, day, numbers[0], numbers[-1]
 
 
 def _within(rows: DataFrame, day_column: str, since: dt.date, until: dt.date) -> DataFrame:
@@ -168,24 +239,44 @@ class CatalogTable:
         """Rows of the days in [since, until), and those without a day; pruned by the catalog."""
         return _within(self.read(spark), self.layout.day, since, until)
 
+    def days(self, spark: SparkSession) -> list[dt.date]:
+        """Days of the table's partitions."""
+        if self.versioned:
+            rows = spark.table(self.name).select(F.col(self.layout.day).cast("string"))
+        else:
+            listed = F.regexp_extract("partition", f"(?:^|/){self.layout.day}=([^/]+)", 1)
+            rows = spark.sql(f"SHOW PARTITIONS {self.name}").select(listed)
+        return sorted(_days_in(r[0] for r in rows.distinct().collect() if r[0]))
+
     def drop_batches(self, spark: SparkSession, batches: list[tuple[dt.date, str, int]]) -> None:
-        """Delete the given (day, stream, batch)."""
+        """Delete the given (day, stream, batch), many in one statement."""
         day_column = self.layout.day
-        for day, stream, number in batches:
-            if self.versioned:
-                spark.sql(
-                    f"DELETE FROM {self.name} WHERE stream_id = '{stream}' AND batch_id = {number} "
-                    f"AND {day_column} = DATE '{day}'"
-                )
-                continue
-            where = f"stream_id = '{stream}', batch_id = {number}, {day_column} = DATE '{day}'"
-            location = spark.sql(f"DESCRIBE EXTENDED {self.name} PARTITION ({where})").filter(
-                "col_name = 'Location'"
-            ).first()["data_type"]
-            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({where})")
-            # Dropping a partition of an external table leaves its files.
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if self.versioned:
+            ranges = [
+                f"(stream_id = '{stream}' AND {day_column} = DATE '{day}' AND batch_id BETWEEN {first} AND {last})"
+                for stream, day, first, last in batch_ranges(batches)
+            ]
+            for k in range(0, len(ranges), NAMED_PARTITIONS):
+                where = " OR ".join(ranges[k : k + NAMED_PARTITIONS])
+                spark.sql(f"DELETE FROM {self.name} WHERE {where}")
+            return
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
+        location = described.filter("col_name = 'Location'").first()["data_type"]
+        for k in range(0, len(batches), NAMED_PARTITIONS):
+            named = ", ".join(
+                f"PARTITION (stream_id = '{stream}', batch_id = {number}, {day_column} = DATE '{day}')"
+                for day, stream, number in batches[k : k + NAMED_PARTITIONS]
+            )
+            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {named}")
+        # Dropping a partition of an external table leaves its files.
+        name = _folder_names(spark)
+        delete_folders(
+            spark,
+            [
+                f"{location}/stream_id={name(stream)}/batch_id={number}/{day_column}={day}"
+                for day, stream, number in batches
+            ],
+        )
 
 
 BatchTable = PathTable | CatalogTable

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from millpulse.operators.metrics import merge_sql, merged_window_metrics
+from millpulse.operators.metrics import finish, merge_partials, merge_sql, merged_window_metrics, newest_states, states_sql
 from millpulse.schemas import (
     AGGREGATE_V1,
     BATCH_KEY,
@@ -26,6 +26,8 @@ WINDOW_STATES = "sensor_window_states"
 # Names under which reports find readings and metrics.
 READINGS_VIEW = "sensor_readings"
 METRICS_VIEW = "sensor_metrics"
+# Own name: metrics of the windows that a stream keeps as state.
+WINDOWS_VIEW = "sensor_windows"
 READINGS_V1 = "sensor_readings_v1"
 AGGREGATES_V1 = "sensor_aggregates"
 
@@ -115,9 +117,14 @@ def create_views(spark: SparkSession, database: str) -> None:
     spark.sql(
         f"CREATE OR REPLACE VIEW {database}.{METRICS_VIEW} AS {merge_sql(f'{database}.{PARTIAL_BATCHES}')}"
     )
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {database}.{WINDOWS_VIEW} AS {states_sql(f'{database}.{WINDOW_STATES}')}"
+    )
 
 
-def register_views(readings: DataFrame, partials: DataFrame) -> None:
-    """The same two views for this session only, over any stored tables."""
+def register_views(readings: DataFrame, partials: DataFrame, states: DataFrame | None = None) -> None:
+    """The same views for the session of these rows only, over any stored tables."""
     readings.select(*READING.names).createOrReplaceTempView(READINGS_VIEW)
     merged_window_metrics(partials).createOrReplaceTempView(METRICS_VIEW)
+    if states is not None:
+        finish(merge_partials(newest_states(states))).createOrReplaceTempView(WINDOWS_VIEW)

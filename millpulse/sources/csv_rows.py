@@ -6,6 +6,7 @@ import functools
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millpulse.schemas import CSV_COLUMNS, CSV_ROWS
@@ -13,25 +14,41 @@ from millpulse.schemas import CSV_COLUMNS, CSV_ROWS
 _OPTIONS = {"header": True, "encoding": "UTF-8"}
 
 
+def _files_by_first_line(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """Files with equal first lines together, found in one job. The first line of a
+    file is the first that is not blank in the piece at its start: rows of a piece
+    are read in order by one task."""
+    lines = spark.read.text(path).select(
+        F.col("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    first = (
+        lines.filter((F.col("at") == 0) & (F.trim("value") != "")).groupBy("file")
+        .agg(F.min_by("value", "row").alias("line"))
+    )
+    grouped = first.groupBy("line").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return [[unquote(file) for file in row["files"]] for row in grouped.orderBy("files").collect()]
+
+
 def read_csv_rows(spark: SparkSession, path: str | list[str], one_header: bool = False) -> DataFrame:
     """All cells as text under the file's own header names (UTF-8).
 
     Columns are found by name, so files may have them in another order, and others
-    beside them. The header line of every file is looked at, one small job each;
-    with ``one_header`` that of the first file counts for all. Files of one header
-    are read together, each file once. Typing happens in ``operators.encode``.
+    beside them. One job finds the first line of every file, and one more for each
+    different line reads the names in it; with ``one_header`` the header of the
+    first file counts for all and the first job is saved. Files of one header are
+    read together, each file once. Typing happens in ``operators.encode``.
     """
-    files = sorted(map(unquote, spark.read.text(path).inputFiles()))
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in files[:1] if one_header else files:
-        header = tuple(spark.read.options(**_OPTIONS).csv(file).columns)
-        # An empty file, of a task without rows, has no header and no rows.
-        if header:
-            by_header.setdefault(header, []).append(file)
     if one_header:
-        by_header = {header: files for header in by_header}
+        groups = [sorted(map(unquote, spark.read.text(path).inputFiles()))]
+    else:
+        groups = _files_by_first_line(spark, path)
     parts = []
-    for header, group in by_header.items():
+    for group in groups:
+        header = tuple(spark.read.options(**_OPTIONS).csv(group[0]).columns) if group else ()
+        # An empty file, of a task without rows, has no header and no rows.
+        if not header:
+            continue
         missing = [name for name in CSV_COLUMNS if name not in header]
         if missing:
             raise ValueError(f"no column {', '.join(map(repr, missing))} in {group[0]}")

@@ -40,10 +40,20 @@ def kafka_messages(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def file_messages(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | str | None = None,
 ) -> DataFrame:
-    """Stream of text files with one message per line, as binary ``value`` like a topic."""
+    """Stream of text files with one message per line, as binary ``value`` like a topic.
+
+    A micro-batch is bounded by the number of files or by their size (bytes, or text
+    such as "10g"); a file larger than that is a batch of its own.
+    """
     reader = spark.readStream.format("text")
+    if max_files_per_trigger is not None and max_bytes_per_trigger is not None:
+        raise ValueError("a step is bounded by files or by bytes, not by both")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+        reader = reader.option("maxBytesPerTrigger", size(str(max_bytes_per_trigger)))
     return reader.load(path).selectExpr("cast(value as binary) as value")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from millpulse.operators.metrics import GROUP, WINDOW_LENGTH, finish, merge_partials, metric_partials
+from millpulse.operators.metrics import WINDOW_LENGTH, finish, merge_partials, metric_partials, newest_states
 from millpulse.session import setting
 from millpulse.sinks.batch_tables import BatchId, BatchTable
 from millpulse.streaming.ingest import durable_stream_id
@@ -109,8 +109,4 @@ def start_windowed(
 def latest_windows(states: DataFrame) -> DataFrame:
     """Final metrics from stored window states: of each stream the newest state of
     each window, and the streams merged."""
-    parts = [c for c in states.columns if c not in (*GROUP, "stream_id", "batch_id", "window_date")]
-    newest = states.groupBy("stream_id", *GROUP).agg(
-        F.max_by(F.struct(*parts), "batch_id").alias("state")
-    )
-    return finish(merge_partials(newest.select(*GROUP, "state.*")))
+    return finish(merge_partials(newest_states(states)))

@@ -89,3 +89,26 @@ def test_columns_are_found_by_name_in_every_file(spark, tmp_path):
     (folder / "wrong.csv").write_text(",".join(names[1:]) + "\n1,2,3,4,5,6\n", encoding="utf-8")
     with pytest.raises(ValueError, match="Timestamp"):
         read_csv_rows(spark, str(folder))
+
+
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    """The number of jobs follows the number of different headers, not of files."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "empty.csv").write_text("")
+    (folder / "blank.csv").write_text("\n\n" + ",".join(CSV_COLUMNS) + "\n")
+    for k in range(40):
+        order = [*CSV_COLUMNS] if k % 2 else [*reversed(CSV_COLUMNS), "more"]
+        cells = {name: str(i) for i, name in enumerate(CSV_COLUMNS)}
+        lines = [",".join(order), *[",".join(cells.get(c, "x") for c in order)] * 3]
+        (folder / f"part {k}.csv").write_text("\n".join(lines) + "\n")
+    tracker, group = spark.sparkContext.statusTracker(), "csv-headers"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        rows = read_csv_rows(spark, str(folder))
+        jobs = len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 8
+    assert {tuple(r) for r in rows.collect()} == {tuple(str(i) for i in range(len(CSV_COLUMNS)))} and rows.count() == 120
+    assert read_csv_rows(spark, str(folder / "part 1.csv"), one_header=True).count() == 3

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millpulse.jobs import main
 from millpulse.schemas import CSV_COLUMNS, READING_V1
-from millpulse.sinks.batch_tables import PARTIALS, PathTable, append_table
+from millpulse.sinks.batch_tables import PARTIALS, READINGS, PathTable, append_table
 from millpulse.streaming.windows import latest_windows
 
 
@@ -43,6 +43,9 @@ def test_from_csv_to_reports(spark, csv, tmp_path, capsys):
     main(["sql", "SELECT count(*) AS n FROM sensor_metrics", "--root", root,
           "--output", str(tmp_path / "sql")], spark)
     assert spark.read.parquet(str(tmp_path / "sql")).first()["n"] == 24
+    assert not spark.catalog.tableExists("sensor_metrics")  # the caller's session is left as it was
+    assert sorted(map(tuple, report("recent_risk_or_fault").collect())) == sorted(
+        map(tuple, report("recent_risk_or_fault", "--start", "2023-01-01T00:00:00", "--end", "2025-01-01T00:00:00").collect()))
 
     def all_reports(*options):
         return [
@@ -55,13 +58,37 @@ def test_from_csv_to_reports(spark, csv, tmp_path, capsys):
     main(["compact", "--root", root, *compacted, "--before", "2024-01-02"], spark)
     assert spark.read.parquet(f"{closed}/readings/days").count() == 24
     assert all_reports(*compacted) == before
+    running = PathTable(f"{root}/readings", READINGS).read(spark)  # files are listed now
     main(["compact", "--root", root, *compacted, "--since", "2024-01-01", "--before", "2024-01-02",
           "--retire"], spark)
+    assert running.filter("temperature_c > 0").count() == 24
+    main(["compact", "--root", root, *compacted, "--since", "2024-01-01", "--before", "2024-01-02",
+          "--retire", "--grace-hours", "0"], spark)
     assert spark.read.parquet(f"{closed}/partials/days").count() == 24
     assert report("temperature_trend").count() == 0  # no live batch is left
     assert all_reports(*compacted) == before
 
 
+def test_views_of_a_statement_shadow_nothing(spark, csv, tmp_path):
+    """A view of the database answers after sql has run over other tables."""
+    main(["init-tables", "--database", "shadow_test", "--location", str(tmp_path / "db")], spark)
+    topic, root = str(tmp_path / "topic"), str(tmp_path / "tables")
+    main(["publish", "--csv", csv, "--messages", topic, "--one-header"], spark)
+    main(["ingest", "--messages", topic, "--root", root, "--checkpoint", str(tmp_path / "cp"), "--once",
+          "--max-bytes-per-trigger", "1k"], spark)
+    spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+    spark.sql("USE shadow_test")
+    try:
+        main(["sql", 'SELECT count(*) AS "n" FROM "sensor_readings"', "--root", root, "--output", str(tmp_path / "n")], spark)
+        assert spark.read.parquet(str(tmp_path / "n")).first()["n"] == 24
+        for view in ("sensor_readings", "sensor_metrics", "sensor_windows"):
+            assert spark.sql(f'SELECT * FROM "{view}"').count() == 0
+    finally:
+        spark.conf.unset("spark.sql.ansi.doubleQuotedIdentifiers")
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE shadow_test CASCADE")
+
+
 def test_tables_in_a_database(spark, csv, tmp_path):
     main(["init-tables", "--database", "jobs_test", "--location", str(tmp_path / "db")], spark)
     topic = str(tmp_path / "topic")
@@ -126,6 +153,19 @@ def test_windows_upgrade_and_diff(spark, csv, tmp_path):
           str(tmp_path / "cp"), "--once", "--state-partitions", "2"], spark)
     states = PathTable(str(tmp_path / "t" / "window_states"), PARTIALS).read(spark)
     assert latest_windows(states).count() == 24
+    root, closed, out = str(tmp_path / "t"), str(tmp_path / "closed"), str(tmp_path / "out")
+    want = sorted(map(tuple, latest_windows(states).drop("processing_time").collect()))
+    for before in ("2024-01-01", "2024-01-02"):
+        main(["compact", "--root", root, "--compacted", closed, "--before", before, "--retire", "--grace-hours", "0"], spark)
+        main(["sql", "SELECT * EXCEPT (processing_time) FROM sensor_windows", "--root", root, "--compacted", closed,
+              "--output", out], spark)
+        assert sorted(map(tuple, spark.read.parquet(out).collect())) == want
+    assert not list((tmp_path / "t" / "window_states").glob("*/*/*/*.parquet"))
+    main(["report", "high_fault_windows", "--windows", "--root", root, "--compacted", closed, "--output", out], spark)
+    assert spark.read.parquet(out).count() == 12
+    main(["report", "high_fault_windows", "--windows", "--root", root, "--compacted", closed, "--output", out,
+          "--start", "2024-01-01T06:00:00", "--end", "2024-01-01T10:00:00"], spark)
+    assert spark.read.parquet(out).count() == 2
 
     main(["init-tables", "--database", "upgrade_test", "--location", str(tmp_path / "db"), "--older"], spark)
     row = {"timestamp": "2024-01-01T00:00:00", "machine_id": "m", "temperature_c": 90.0}

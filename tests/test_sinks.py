@@ -11,12 +11,15 @@ from millpulse.sinks import compaction, ddl
 from millpulse.sinks.batch_tables import (
     PARTIALS,
     READINGS,
+    STATES,
     BatchId,
     CatalogTable,
     PathTable,
     append_table,
+    batch_ranges,
 )
 from millpulse.sources.tables import in_time_range, read_table
+from millpulse.streaming.windows import latest_windows
 
 DAYS = ("2024-01-01", "2024-01-02", "2024-01-03")
 
@@ -280,3 +283,114 @@ def test_plain_append_matches_names(spark, database):
         append_table(older, f"{database}.{ddl.READINGS_V1}")
     stored = spark.table(f"{database}.{ddl.READINGS_V1}")
     assert stored.count() == 20 and stored.filter("machine_id like 'm%'").count() == 20
+
+
+def state_rows(spark, *rows):
+    """Window states (hour of day, machine, total) as parts."""
+    return metric_partials(readings(spark)).limit(0).unionByName(
+        spark.createDataFrame(
+            [(dt.datetime(2024, 1, day, hour), machine, total) for day, hour, machine, total in rows],
+            "window_start timestamp, machine_id string, total_readings long",
+        ).withColumn("window_end", F.expr("window_start + INTERVAL 15 minutes")),
+        allowMissingColumns=True,
+    )
+
+
+def test_compacted_states_keep_the_newest_of_each_stream(spark, tmp_path):
+    table, root = PathTable(str(tmp_path / "states"), STATES), str(tmp_path / "closed")
+
+    def store(stream, number, *rows):
+        table.replace_batch(with_day(state_rows(spark, *rows)), batch(number, stream))
+
+    def totals():
+        found = latest_windows(compaction.read_rows(table.read(spark), STATES, root))
+        return {(r.window_start.day, r.machine_id): r.total_readings for r in found.collect()}
+
+    store("a", 0, (1, 5, "m", 3), (2, 5, "m", 1))
+    store("a", 1, (1, 5, "m", 4), (2, 5, "m", 6))
+    store("b", 0, (1, 5, "m", 10), (1, 5, "n", 2))
+    want = {(1, "m"): 14, (1, "n"): 2, (2, "m"): 6}
+    assert totals() == want
+    for _ in range(2):
+        compaction.compact(table.read(spark), STATES, root, dt.date(2024, 1, 2))
+        assert totals() == want
+        compaction.retire(spark, table, root)
+        assert totals() == want
+    assert len(spark.read.parquet(f"{root}/days").collect()) == 3
+    store("a", 2, (1, 5, "m", 5))  # a late row of stream a
+    store("b", 1, (1, 5, "n", 3), (2, 5, "m", 1))
+    want = {(1, "m"): 15, (1, "n"): 3, (2, "m"): 7}
+    assert totals() == want
+    compaction.compact(table.read(spark), STATES, root, dt.date(2024, 1, 3))
+    assert totals() == want
+
+
+def test_view_of_window_states(spark, database):
+    table = CatalogTable(f"{database}.{ddl.WINDOW_STATES}", STATES)
+    for number, total in ((0, 3), (1, 7)):
+        table.replace_batch(with_day(state_rows(spark, (1, 5, "m", total))), batch(number, "a"))
+    table.replace_batch(with_day(state_rows(spark, (1, 5, "m", 5))), batch(0, "b"))
+    view = spark.table(f"{database}.sensor_windows")
+    assert view.schema.names == METRIC.names and [r.total_readings for r in view.collect()] == [12]
+
+
+def test_batches_are_listed_first_and_deleted_after_the_grace_period(spark, filled, tmp_path):
+    table, root = filled[0], str(tmp_path / "closed")
+    now, day = dt.datetime(2024, 5, 1, tzinfo=dt.timezone.utc), dt.timedelta(days=1)
+    running = table.read(spark)
+    compaction.compact(table.read(spark), READINGS, root, dt.date(2024, 1, 2))
+    assert compaction.retire(spark, table, root, day, now) == 0
+    compaction.compact(table.read(spark), READINGS, root, dt.date(2024, 1, 3))
+    assert compaction.retire(spark, table, root, day, now + day / 2) == 0
+    same_rows(running.drop("stream_id", "batch_id"), readings(spark))  # its files are still there
+    assert compaction.retire(spark, table, root, day, now + day) == 3
+    assert compaction.retire(spark, table, root, day, now + 2 * day) == 3
+    assert compaction.retire(spark, table, root, day, now + 3 * day) == 0
+    same_rows(compaction.read_rows(table.read(spark), READINGS, root), readings(spark))
+
+
+def test_ten_thousand_batches_are_retired_in_bulk(spark, tmp_path):
+    table, root = PathTable(str(tmp_path / "t"), READINGS), str(tmp_path / "closed")
+    table.replace_batch(readings(spark, 3).filter("date = '2024-01-01'").coalesce(1), batch(0, "a:b"))
+    (file,) = (tmp_path / "t").glob("*/*/*/*.parquet")
+    for number in range(1, 10_000):
+        folder = file.parent.parent / f"batch_id={number}"
+        folder.mkdir()
+        (folder / "part.parquet").hardlink_to(file)
+    contents = spark.range(10_000).selectExpr(
+        "DATE'2024-01-01' AS date", "'a:b' AS stream_id", "id AS batch_id", "1L AS generation")
+    contents.coalesce(1).write.parquet(f"{root}/contents")
+    assert compaction.retire(spark, table, root) == 10_000
+    assert not list((tmp_path / "t").glob("*/*/batch_id=*"))
+
+
+def test_ranges_of_batches():
+    day, other = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    many = [(day, "s", n) for n in range(10_000) if n != 77] + [(other, "s", 3), (day, "r", 3), (day, "r", 4)]
+    assert sorted(batch_ranges(reversed(many))) == [
+        ("r", day, 3, 4), ("s", day, 0, 76), ("s", day, 78, 9999), ("s", other, 3, 3)]
+
+
+def test_latest_rows_read_the_newest_days_only(spark, tmp_path, database):
+    rows = [(f"2024-01-{d:02d}T0{h}:00:00", f"m{h}", 90.0 if d < 29 or h else 5.0, 1.0, 1.0, None, None, 0)
+            for d in range(1, 31) for h in range(3)]
+    rows += [("garbage", "undated", 95.0, 1.0, 1.0, None, None, 0)]
+    data = enrich(spark.createDataFrame(rows, EVENT))
+    for table in (PathTable(str(tmp_path / "t"), READINGS), CatalogTable(f"{database}.{ddl.READING_BATCHES}", READINGS)):
+        assert table.days(spark) == []
+        table.replace_batch(data, batch(0))
+        assert table.days(spark) == [dt.date(2024, 1, d) for d in range(1, 31)]
+        for limit, days in ((2, 1), (3, 4), (10, 4), (14, 16), (1000, 30)):
+            read = []
+
+            def days_read(since, until):
+                read.append((since, until))
+                return table.read_days(spark, since, until)
+
+            found = reports.newest_first(
+                table.days(spark), days_read, lambda r: reports.recent_high_risk(r, limit), limit)
+            assert (read[-1][1] - read[-1][0]).days == days
+            assert found.collect() == reports.recent_high_risk(table.read(spark), limit).collect()
+    listed = table.read_days(spark, *read[0]).inputFiles()
+    assert listed and all("2024-01-30" in f or "__HIVE" in f for f in listed)
+    assert reports.newest_first([], lambda *_: data, lambda r: reports.recent_high_risk(r), 50).count() > 0
