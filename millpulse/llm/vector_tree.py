@@ -76,18 +76,25 @@ class Tree:
             active = active[[bool(self.children[n]) for n in node[active].tolist()]]
         return np.array(self.leaf)[node] if len(x) else node
 
-    def visits(self, q: np.ndarray, most: int) -> list[list[int]]:
-        """For each query the first leaves, best bin first."""
+    def visits(
+        self, q: np.ndarray, most: int, sizes: list[int] | None = None, least: int = 0
+    ) -> list[list[int]]:
+        """For each query the first leaves, best bin first: ``most`` of them, and
+        more until their rows (``sizes`` by leaf) are ``least``. Only the centers
+        below an opened node are measured."""
         out = []
-        far = _squared(q, self.centers) if len(q) else np.zeros((0, 1))
-        for row in far:
-            queue, found = [(float(row[0]), 0)], []
-            while queue and len(found) < most:
+        for one in q:
+            queue, found, held = [(0.0, 0)], [], 0
+            while queue and (len(found) < most or held < least):
                 _, node = heapq.heappop(queue)
                 if self.leaf[node] >= 0:
                     found.append(self.leaf[node])
-                for child in self.children[node]:
-                    heapq.heappush(queue, (float(row[child]), child))
+                    held += sizes[self.leaf[node]] if sizes else least
+                below = self.children[node]
+                if below:
+                    away = ((self.centers[below] - one) ** 2).sum(1).tolist()
+                    for child, distance in zip(below, away):
+                        heapq.heappush(queue, (distance, child))
             out.append(found)
         return out
 
@@ -179,12 +186,12 @@ def _scan(query_ids: np.ndarray, queries: np.ndarray, k: int):
     return run
 
 
-def _visited(tree: Tree, most: int):
+def _visited(tree: Tree, most: int, sizes: list[int], least: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            found = tree.visits(_matrix(batch["query"]), most)
+            found = tree.visits(_matrix(batch["query"]), most, sizes, least)
             n = [len(f) for f in found]
             yield pd.DataFrame(
                 {
@@ -225,7 +232,8 @@ def nearest_neighbours(
 
     Null ids, and vectors that are null, zero, of another length than most or hold
     a null or non-finite component take no part. Rows that repeat an id with the
-    same vector count once; a row is never its own neighbour.
+    same vector count once; a row is never its own neighbour. A query visits leaves
+    until they hold k other ids, so it gets fewer only if there are no more.
     """
     spark = vectors.sparkSession
     v = F.col("embedding")
@@ -244,15 +252,18 @@ def nearest_neighbours(
             F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"),
             F.lit(0.0).alias("score"),
         )
-    rows = stored(rows.where(F.size(v) == length.n), "vectors")
+    rows = rows.where(F.size(v) == length.n)
+    # a row of an id and vector, however often it is there; it asks if any of them does
+    rows = stored(rows.groupBy("vec_id", "embedding").agg(F.max("asks").alias("asks")), "vectors")
     total = rows.count()
+    same_id = rows.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 1
     sample = _matrix(
         pd.Series([r.embedding for r in rows.select("vec_id", "embedding").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()])
     )
     tree = fit_tree(sample, min(MAX_LEAVES, max(1, total // LEAF_ROWS)))
     copies = Window.partitionBy("embedding").orderBy("vec_id")
     leaves = stored(
-        rows.select("vec_id", "embedding").withColumn("copy", F.dense_rank().over(copies))
+        rows.select("vec_id", "embedding").withColumn("copy", F.row_number().over(copies))
         .where(F.col("copy") <= k + 1).select("vec_id", "embedding")
         .mapInPandas(_to_leaf(tree), "vec_id long, embedding array<double>, leaf int"),
         "vector-leaves",
@@ -278,13 +289,17 @@ def nearest_neighbours(
         }
         needed = sorted(order[r.query_id][r.leaf] + 1 for r in true)
         most = needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)] if needed else 1
-    visited = stored(
-        queries.mapInPandas(_visited(tree, most), "query_id long, query array<double>, leaf int"), "vector-visits"
-    )
     # a row for each leaf at most
-    row_blocks, query_blocks = [1] * tree.leaves, [1] * tree.leaves
+    sizes, row_blocks, query_blocks = [0] * tree.leaves, [1] * tree.leaves, [1] * tree.leaves
     for leaf, n in leaves.groupBy("leaf").count().collect():
-        row_blocks[leaf] = math.ceil(n / BLOCK_ROWS)
+        sizes[leaf], row_blocks[leaf] = n, math.ceil(n / BLOCK_ROWS)
+    # k ids beside the query's own; an id may have several vectors
+    visited = stored(
+        queries.mapInPandas(
+            _visited(tree, most, sizes, (k + 1) * same_id), "query_id long, query array<double>, leaf int"
+        ),
+        "vector-visits",
+    )
     for leaf, n in visited.groupBy("leaf").count().collect():
         query_blocks[leaf] = math.ceil(n / BLOCK_QUERIES)
 

@@ -48,6 +48,20 @@ def test_recall_on_clusters(spark, monkeypatch):
         assert got[q] == want[q]
 
 
+def test_every_query_gets_k(spark, monkeypatch):
+    """Outliers whose leaves hold few rows, and copies that are cut to a few."""
+    monkeypatch.setattr(vt, "LEAF_ROWS", 20)
+    rng = np.random.default_rng(6)
+    x = np.zeros((3200, 3)) + [1.0, 2.0, 3.0]
+    x[3000:] = rng.normal(size=(200, 3)) * 10.0 ** rng.integers(0, 6, (200, 1))
+    ids = np.arange(3200)
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, x)]
+    frame = spark.createDataFrame(rows + rows[3000:3010] * 30, "vec_id long, embedding array<double>")
+    got = searched(frame)
+    assert set(got) == set(range(0, 3200, 100))
+    assert all(len(v) == 10 and len({i for i, _ in v}) == 10 for v in got.values())
+
+
 def test_small_tables_are_exact(spark):
     rows = [
         (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [2.0, 0.0]), (100, [1.0, 1.0]), (100, [1.0, 1.0]),
@@ -90,7 +104,8 @@ def test_best_bin_first_order():
     assert leaf.min() >= 0 and leaf.max() < tree.leaves
 
 
-def test_query_recall(spark):
+def test_query_recall(spark, monkeypatch):
+    monkeypatch.setattr(vt, "LEAF_ROWS", 16)
     folder = "/root/testdata/sf0.01"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
     want = brute(np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=float))
