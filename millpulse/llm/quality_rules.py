@@ -141,21 +141,43 @@ def _log_add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logaddexp(a, b)
 
 
+def spliced(docs: list[tuple[str, int]]) -> list[tuple[str, list[int]]]:
+    """Documents put together from a good and a bad one, with the label of each line
+    that has words: the labels of a real document change, those of the labelled
+    table do not. Every document takes part once at most; the shapes take turns:
+    good bad, bad good, good bad good, bad good bad."""
+    kinds = [[t for t, y in docs if y == label and line_features(t)[0]] for label in (0, 1)]
+    out = []
+    for k, (bad, good) in enumerate(zip(*kinds)):
+        first, second = ((good, 1), (bad, 0)) if k % 2 == 0 else ((bad, 0), (good, 1))
+        pieces = [first, second]
+        lines = first[0].split("\n")
+        if k % 4 > 1 and len(lines) > 1:
+            half = len(lines) // 2
+            pieces = [("\n".join(lines[:half]), first[1]), second, ("\n".join(lines[half:]), first[1])]
+        labels = [y for text, y in pieces for _ in line_features(text)[0]]
+        out.append(("\n".join(text for text, _ in pieces), labels))
+    return out
+
+
 def fit_field(docs: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = 0.1) -> LineField:
-    """Maximum likelihood with a small L2 penalty, by Adam. All documents are
-    handled at once, one position after the other."""
-    rows = [(np.array(f), y) for f, y in ((line_features(t)[0], y) for t, y in docs) if f]
+    """Maximum likelihood with a small L2 penalty, by Adam, on the documents and on
+    spliced ones. All are handled at once, one position after the other."""
+    whole = [(np.array(f), [y] * len(f), y) for f, y in ((line_features(t)[0], y) for t, y in docs) if f]
     model = LineField()
-    if len({y for _, y in rows}) < 2:
+    if len({y for _, _, y in whole}) < 2:
         return model
+    share = np.bincount([y for _, _, y in whole], minlength=2) / len(whole)
+    # both classes weigh the same; a spliced document has something of each
+    rows = [(f, own, 1 / (2 * share[y])) for f, own, y in whole]
+    rows += [(np.array(line_features(t)[0]), own, 1.0) for t, own in spliced(docs)]
     rows.sort(key=lambda r: -len(r[0]))
-    n, t = len(rows), len(rows[0][0])
-    sizes = np.array([len(f) for f, _ in rows])
+    t = len(rows[0][0])
+    sizes = np.array([len(f) for f, _, _ in rows])
     live = [int((sizes > k).sum()) for k in range(t)]  # documents are sorted by length
-    x = [np.stack([f[k] for f, _ in rows[: live[k]]]) for k in range(t)]
-    y = np.array([label for _, label in rows])
-    share = np.bincount(y, minlength=2) / n
-    value = (1 / (2 * share))[y]  # both classes weigh the same
+    x = [np.stack([f[k] for f, _, _ in rows[: live[k]]]) for k in range(t)]
+    y = [np.array([own[k] for _, own, _ in rows[: live[k]]]) for k in range(t)]
+    value = np.array([v for _, _, v in rows])
     theta = np.zeros(N_FEATURES + 6)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     total = float((value * sizes).sum())
@@ -183,7 +205,7 @@ def fit_field(docs: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = 0
         for k in range(t):
             m = live[k]
             p1 = np.exp(alpha[k][:, 1] + beta[k][:, 1] - z[:m])
-            gap = value[:m] * (y[:m] - p1)
+            gap = value[:m] * (y[k] - p1)
             grad[:N_FEATURES] += gap @ x[k]
             if k == 0:
                 grad[N_FEATURES : N_FEATURES + 2] += [-gap.sum(), gap.sum()]
@@ -193,7 +215,7 @@ def fit_field(docs: list[tuple[str, int]], epochs: int = EPOCHS, rate: float = 0
                 for i in (0, 1):
                     for j in (0, 1):
                         pair = np.exp(before[:, i] + moves[i, j] + after[:, j] - z[:m])
-                        seen = (y[:m] == i) & (y[:m] == j)
+                        seen = (y[k - 1][:m] == i) & (y[k] == j)
                         grad[-4 + 2 * i + j] += (value[:m] * (seen - pair)).sum()
         grad = grad / total - 1e-4 * theta
         first = 0.9 * first + 0.1 * grad
@@ -218,7 +240,7 @@ def training_texts(
     rows = (
         docs.select("doc_id", "text").where(F.length("text") <= chars)
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-        .select("doc_id", "text", "label").collect()
+        .groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     )
     return [(r.text, int(r.label)) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))]
 

@@ -76,6 +76,23 @@ def test_training_separates_classes():
         assert set(model.decode(scores)) == {label}
 
 
+def test_mixed_documents_get_both_labels(spark):
+    """Fitted on one half of the labelled documents, decoded on splices of the other."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    texts = qr.training_texts(docs, labels)
+    model = qr.fit_field(texts[::2])
+    right = lines = both = 0
+    mixed = qr.spliced(texts[1::2])
+    for text, want in mixed:
+        got = model.decode(np.array(qr.line_features(text)[0]) @ model.weights)
+        right += sum(a == b for a, b in zip(got, want, strict=True))
+        lines += len(want)
+        both += set(got) == {0, 1}
+    print(right / lines, both / len(mixed), model.moves)
+    assert len(mixed) > 50 and right / lines > 0.8 and both / len(mixed) > 0.7
+
+
 def test_judge_keeps_columns_and_handles_edges(spark):
     clean = " ".join(f"word{i}" for i in range(40)) + "."
     rows = [(1, clean, "a"), (2, None, None), (3, "", "c"), (1, clean, "a"), (None, clean, "x")]
