@@ -11,10 +11,12 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millpulse.operators import encode, history, profile, reports
 from millpulse.operators.enrich import monitor_view
 from millpulse.operators.metrics import merged_window_metrics
+from millpulse.schemas import METRIC
 from millpulse.session import build_session
 from millpulse.sinks import compaction, ddl
 from millpulse.sinks.batch_tables import (
@@ -219,7 +221,13 @@ def report(spark: SparkSession, args) -> None:
     rows = compaction.read_rows(live, table.layout, root)
     if of_metrics:
         rows = in_time_range(rows, args.start, args.end, "window_start", "window_date")
-        result = METRIC_REPORTS[args.name](_metrics(rows, table.layout))
+        found = _metrics(rows, table.layout)
+        if args.older:
+            older = spark.read.schema(METRIC).parquet(args.older)
+            older = older.withColumn("window_date", F.to_date("window_start"))
+            older = in_time_range(older, args.start, args.end, "window_start", "window_date")
+            found = found.unionByName(older.select(*found.columns))
+        result = METRIC_REPORTS[args.name](found)
     else:
         result = READING_REPORTS[args.name](in_time_range(rows, args.start, args.end))
     _show(result, args)
@@ -343,6 +351,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--branch", help="branch or tag of a versioned catalog")
     sub.add_argument("name", choices=[*READING_REPORTS, *METRIC_REPORTS])
     sub.add_argument("--windows", action="store_true", help="metrics of the stored window states")
+    sub.add_argument("--older", help="folder of older aggregates that upgrade --metrics has written")
     sub.add_argument("--start", type=dt.datetime.fromisoformat)
     sub.add_argument("--end", type=dt.datetime.fromisoformat)
     sub.add_argument("--compacted", help="folder that compact has written")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millpulse.jobs import main
-from millpulse.schemas import CSV_COLUMNS, READING_V1
+from millpulse.schemas import AGGREGATE_V1, CSV_COLUMNS, READING_V1
 from millpulse.sinks.batch_tables import PARTIALS, READINGS, PathTable, append_table
 from millpulse.streaming.windows import latest_windows
 
@@ -173,6 +173,15 @@ def test_windows_upgrade_and_diff(spark, csv, tmp_path):
     append_table(old.withColumn("date", F.to_date("event_time")), "upgrade_test.sensor_readings_v1")
     for _ in range(2):
         main(["upgrade", "--database", "upgrade_test"], spark)
+    window = spark.sql("SELECT struct(TIMESTAMP'2023-12-31 10:00:00' AS start, TIMESTAMP'2023-12-31 10:15:00' AS end) AS window")
+    aggregates = window.selectExpr(
+        "window", "'m' AS machine_id", *(f"1.5D AS {c}" for c in AGGREGATE_V1.names[2:8]), "3 AS fault_count", "4 AS reading_count")
+    append_table(aggregates, "upgrade_test.sensor_aggregates")
+    main(["upgrade", "--database", "upgrade_test", "--metrics", str(tmp_path / "older")], spark)
+    for options, n in (([], 13), (["--start", "2024-01-01T00:00:00"], 12)):
+        main(["report", "high_fault_windows", "--windows", "--root", root, "--compacted", closed, "--output", out,
+              "--older", str(tmp_path / "older"), *options], spark)
+        assert spark.read.parquet(out).count() == n
     new = spark.table("upgrade_test.sensor_readings").collect()
     assert [(r["machine_id"], r["temp_status"]) for r in new] == [("m", "HIGH")]
     spark.sql("DROP DATABASE upgrade_test CASCADE")
