@@ -20,6 +20,7 @@ from millpulse.schemas import METRIC
 from millpulse.session import build_session
 from millpulse.sinks import compaction, ddl
 from millpulse.sinks.batch_tables import (
+    AUDITED,
     PARTIALS,
     QUARANTINED,
     READINGS,
@@ -74,6 +75,7 @@ def _tables(args) -> IngestTargets:
         _table(args, ddl.QUARANTINE_BATCHES, "quarantine", QUARANTINED)
         if getattr(args, "quarantine", False)
         else None,
+        _table(args, ddl.AUDIT_BATCHES, "audit", AUDITED) if getattr(args, "audit", False) else None,
     )
 
 
@@ -326,6 +328,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--checkpoint", required=True, help="durable folder")
     sub.add_argument("--every", default="30 seconds")
     sub.add_argument("--quarantine", action="store_true")
+    sub.add_argument("--audit", action="store_true", help="a row for each step: messages offered, stored, quarantined")
     sub.add_argument("--backfill", action="store_true", help="steps hold many days at once")
     sub.add_argument("--monitor", action="store_true", help="also print to the console")
 

@@ -235,6 +235,12 @@ FROM r
     "merged_window_metrics": _METRICS,
     "compacted_window_metrics": _METRICS,
     "ingested_quarantine": f"SELECT reason, count(*) AS messages FROM ({_REASON}) GROUP BY reason",
+    "ingested_audit": f"""
+SELECT count(*) AS offered, count(*) FILTER (reason = 'valid') AS readings,
+       count(*) FILTER (reason <> 'valid') AS quarantined, count(*) FILTER (reason = 'valid') AS readings_held,
+       count(*) FILTER (reason <> 'valid') AS quarantine_held, 0::BIGINT AS unaccounted
+FROM ({_REASON})
+""",
     "stream_window_metrics": _METRICS
     + " WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 minutes FROM r)",
     "windowed_table_metrics": _METRICS,

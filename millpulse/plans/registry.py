@@ -306,6 +306,7 @@ def _targets(root: str, quarantine: bool = False) -> IngestTargets:
         batch_tables.PathTable(f"{root}/quarantine", batch_tables.QUARANTINED)
         if quarantine
         else None,
+        batch_tables.PathTable(f"{root}/audit", batch_tables.AUDITED) if quarantine else None,
     )
 
 
@@ -435,6 +436,18 @@ def _event_stream(spark: SparkSession, path: str, files: int) -> DataFrame:
     return enrich.derive(fields).withColumn("processing_time", F.current_timestamp())
 
 
+@query
+def ingested_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages offered to a topic with damaged ones, against what the tables hold."""
+    targets = _ingested(spark, folder, quarantine=True)
+    held = targets.readings.read(spark).agg(F.count("*").alias("readings_held"))
+    rejected = targets.quarantine.read(spark).agg(F.count("*").alias("quarantine_held"))
+    sums = [F.sum(c).alias(c) for c in ("offered", "readings", "quarantined")]
+    told = targets.audit.read(spark).agg(*sums)
+    whole = told.withColumns({"readings_held": held.scalar(), "quarantine_held": rejected.scalar()})
+    return whole.withColumn("unaccounted", F.expr("offered - readings - quarantined"))
+
+
 @query
 def stream_window_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Windows that the watermark has closed, over the events in steps of rising

@@ -129,6 +129,15 @@ QUARANTINE = _struct(
     ("quarantine_date", "date"),
 )
 
+# What became of the messages of one micro-batch.
+AUDIT = _struct(
+    ("offered", "bigint"),
+    ("readings", "bigint"),
+    ("timed_readings", "bigint"),
+    ("quarantined", "bigint"),
+    ("audit_date", "date"),
+)
+
 
 # Who wrote a row: the stream (its checkpoint's id) and the micro-batch.
 BATCH_KEY = ("stream_id", "batch_id")

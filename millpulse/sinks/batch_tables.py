@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millpulse.schemas import BATCH_KEY, METRIC_PARTIAL, QUARANTINE, READING, with_batch_key
+from millpulse.schemas import AUDIT, BATCH_KEY, METRIC_PARTIAL, QUARANTINE, READING, with_batch_key
 from millpulse.session import setting
 from millpulse.sources.tables import read_table
 
@@ -47,6 +47,7 @@ class TableLayout:
 READINGS = TableLayout(READING, "date", ("machine_id", "event_time"))
 PARTIALS = TableLayout(METRIC_PARTIAL, "window_date", ("machine_id", "window_start"), "parts")
 STATES = TableLayout(METRIC_PARTIAL, "window_date", ("machine_id", "window_start"), "newest")
+AUDITED = TableLayout(AUDIT, "audit_date", ())
 QUARANTINED = TableLayout(QUARANTINE, "quarantine_date", ("reason",))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from millpulse.operators.metrics import finish, merge_partials, merge_sql, merged_window_metrics, newest_states, states_sql
 from millpulse.schemas import (
     AGGREGATE_V1,
+    AUDIT,
     BATCH_KEY,
     METRIC_PARTIAL,
     QUARANTINE,
@@ -22,6 +23,7 @@ READING_BATCHES = "sensor_reading_batches"
 PARTIAL_BATCHES = "sensor_metric_batches"
 QUARANTINE_BATCHES = "sensor_quarantine_batches"
 WINDOW_STATES = "sensor_window_states"
+AUDIT_BATCHES = "sensor_audit_batches"
 
 # Names under which reports find readings and metrics.
 READINGS_VIEW = "sensor_readings"
@@ -36,6 +38,7 @@ _STORED = {
     READING_BATCHES: (with_batch_key(READING), (*BATCH_KEY, "date")),
     PARTIAL_BATCHES: (with_batch_key(METRIC_PARTIAL), (*BATCH_KEY, "window_date")),
     QUARANTINE_BATCHES: (with_batch_key(QUARANTINE), (*BATCH_KEY, "quarantine_date")),
+    AUDIT_BATCHES: (with_batch_key(AUDIT), (*BATCH_KEY, "audit_date")),
     # States of one window replace each other; merged like parts they would add up.
     WINDOW_STATES: (with_batch_key(METRIC_PARTIAL), (*BATCH_KEY, "window_date")),
 }

@@ -15,6 +15,7 @@ from pyspark.storagelevel import StorageLevel
 from millpulse.operators.enrich import enrich
 from millpulse.operators.metrics import WINDOW_LENGTH, metric_partials
 from millpulse.operators.parse import classify_messages, parse_messages
+from millpulse.schemas import AUDIT
 from millpulse.sinks.batch_tables import BatchId, BatchTable
 
 log = logging.getLogger(__name__)
@@ -27,12 +28,14 @@ class IngestTargets:
     """Where the rows of a micro-batch go.
 
     Without a quarantine table every message becomes a reading, however little
-    of it could be read. With one, only valid messages do.
+    of it could be read. With one, only valid messages do. An audit table gets a row
+    for each micro-batch: messages offered, stored as readings, quarantined.
     """
 
     readings: BatchTable
     partials: BatchTable
     quarantine: BatchTable | None = None
+    audit: BatchTable | None = None
 
 
 @dataclass(frozen=True)
@@ -90,9 +93,15 @@ def batch_writer(
         key = BatchId(stream_id or durable_stream_id(batch), batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            valid = batch
+            offered = Observation()
+            # The time of processing is that of the batch, also when it runs again.
+            counts = [F.count("*").alias("offered"), F.max(F.to_date("processing_time")).alias("day")]
             if targets.quarantine is not None:
-                valid = batch.filter(F.col("reason") == "valid")
+                counts.append(F.count_if(F.col("reason") != "valid").alias("quarantined"))
+            everything = batch.observe(offered, *counts)
+            valid = everything
+            if targets.quarantine is not None:
+                valid = everything.filter(F.col("reason") == "valid")
             seen = Observation()
             counted = valid.observe(
                 seen,
@@ -104,7 +113,8 @@ def batch_writer(
 
             # Without an event time there is no window, hence nothing to write.
             if timed > 0:
-                partials = metric_partials(valid, length)
+                kept = batch if targets.quarantine is None else batch.filter(F.col("reason") == "valid")
+                partials = metric_partials(kept, length)
                 targets.partials.replace_batch(
                     partials.withColumn("window_date", F.to_date("window_start")),
                     key,
@@ -115,6 +125,11 @@ def batch_writer(
                     "quarantine_date", F.to_date("processing_time")
                 )
                 targets.quarantine.replace_batch(rejected, key)
+            found = offered.get
+            if targets.audit is not None and found["offered"] > 0:
+                # Last: a batch that has its row here is in all other tables.
+                row = (found["offered"], readings, timed, found.get("quarantined", 0), found["day"])
+                targets.audit.replace_batch(batch.sparkSession.createDataFrame([row], AUDIT), key)
             on_batch(BatchReport(batch_id, readings, timed))
         finally:
             batch.unpersist()

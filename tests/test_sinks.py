@@ -205,7 +205,7 @@ def database(spark, tmp_path):
 
 def test_tables_are_created_once(spark, database, tmp_path):
     names = ddl.create_tables(spark, database, location=str(tmp_path / "db"), older=True)
-    assert len(names) == 6
+    assert len(names) == 7
     assert spark.table(f"{database}.sensor_readings").schema.names == READING.names
     assert spark.table(f"{database}.sensor_metrics").schema.names == METRIC.names
     assert [f.dataType for f in spark.table(f"{database}.sensor_metrics").schema] == [

@@ -8,7 +8,7 @@ from millpulse.operators.encode import encode_messages
 from millpulse.operators.enrich import derive, monitor_view
 from millpulse.operators.metrics import merged_window_metrics, window_metrics
 from millpulse.schemas import EVENT, QUARANTINE
-from millpulse.sinks.batch_tables import PARTIALS, QUARANTINED, READINGS, BatchId, PathTable
+from millpulse.sinks.batch_tables import AUDITED, PARTIALS, QUARANTINED, READINGS, BatchId, PathTable
 from millpulse.sinks.messages import publish_files
 from millpulse.sources.messages import file_messages
 from millpulse.streaming import ingest, windows
@@ -145,6 +145,36 @@ def test_quarantine_takes_what_readings_do_not(spark, tmp_path):
     }
 
 
+def test_audit_accounts_for_every_message_also_after_a_crash(spark, tmp_path, monkeypatch):
+    path = topic(spark, tmp_path / "topic", 2)
+    (tmp_path / "topic" / "bad.txt").write_text("not json\n{}\n")
+    out = targets(tmp_path, quarantine=True)
+    out = IngestTargets(out.readings, out.partials, out.quarantine, PathTable(str(tmp_path / "audit"), AUDITED))
+
+    def run():
+        start_ingest(file_messages(spark, path, 1), out, str(tmp_path / "cp"), NOW).awaitTermination()
+
+    write, calls = PathTable.replace_batch, []
+
+    def fail_after_audit(self, *args, **kwargs):
+        write(self, *args, **kwargs)
+        calls.append(self)
+        if self is out.audit and len([c for c in calls if c is out.audit]) == 2:
+            raise RuntimeError("stopped after the audit row")
+
+    monkeypatch.setattr(PathTable, "replace_batch", fail_after_audit)
+    with pytest.raises(Exception, match="stopped after"):
+        run()
+    spark.streams.resetTerminated()
+    monkeypatch.setattr(PathTable, "replace_batch", write)
+    run()
+    rows = out.audit.read(spark).collect()
+    assert len(rows) == len({r.batch_id for r in rows}) == 3
+    assert all(r.offered == r.readings + r.quarantined for r in rows)
+    assert sum(r.readings for r in rows) == out.readings.read(spark).count()
+    assert sum(r.quarantined for r in rows) == out.quarantine.read(spark).count() == 2
+
+
 def test_metrics_carry_the_processing_time_of_the_stream(spark, tmp_path):
     path = topic(spark, tmp_path / "topic", 2)
     out = targets(tmp_path)
