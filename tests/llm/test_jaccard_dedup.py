@@ -76,3 +76,39 @@ def test_group_of_copies_is_not_paired(spark):
     rows = [(k, " ".join(edited(rng, words, 2))) for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert [r.doc_id for r in jaccard_dedup.one_of_each(docs).collect()] == [0]
+
+
+def test_prefix_pairs_hold_every_similar_pair(spark):
+    """Against brute force, with common passages, several components and few pairs."""
+    rng = np.random.default_rng(8)
+    passage = [f"p{k}" for k in range(60)]
+    texts = []
+    for k in range(60):
+        own = [f"o{k}w{j}" for j in range(120)]
+        texts.append(passage + own)
+        if k % 3 == 0:
+            texts.append(edited(rng, passage + own, int(rng.integers(1, 6))))
+    texts += [edited(rng, passage, 1) for _ in range(20)]
+    sets = [jaccard_dedup.shingles(" ".join(t)) for t in texts]
+    rows = [(bytes([k]), k % 7, bytes(own.tobytes())) for k, own in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "digest binary, component long, own binary").repartition(3)
+    got = {(r.a[0], r.b[0]) for r in jaccard_dedup.prefix_pairs(frame, 80).collect()}
+    want = {
+        (i, j) for i, j in itertools.combinations(range(len(sets)), 2)
+        if i % 7 != j % 7 and jaccard_dedup.similar(sets[i], sets[j])
+    }
+    assert want and want <= got and len(got) < 400
+
+
+def test_common_passage_forms_no_pairs(spark, monkeypatch):
+    """Texts that share a third and little else, with no hub rounds before."""
+    compared = []
+    whole = jaccard_dedup.prefix_pairs
+    monkeypatch.setattr(jaccard_dedup, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(jaccard_dedup, "prefix_pairs", lambda *a: compared.append(whole(*a)) or compared[-1])
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, f"{passage} " + " ".join(f"o{k}w{j}" for j in range(100))) for k in range(300)]
+    rows.append((300, rows[7][1] + " more"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in jaccard_dedup.one_of_each(docs).collect()} == set(range(300))
+    assert compared[0].count() == 1
