@@ -112,3 +112,19 @@ def test_common_passage_forms_no_pairs(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in jaccard_dedup.one_of_each(docs).collect()} == set(range(300))
     assert compared[0].count() == 1
+
+
+def test_crowd_below_the_similarity_forms_few_pairs(spark, monkeypatch):
+    """Copies of one text with so many edits that only a few are similar: pairs grow
+    with the members, not with their square, and none that counts is lost."""
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(200)]
+    compared = []
+    whole = jaccard_dedup.prefix_pairs
+    monkeypatch.setattr(jaccard_dedup, "prefix_pairs", lambda *a: compared.append(whole(*a)) or compared[-1])
+    texts = [" ".join(edited(rng, words, int(n))) for n in rng.integers(3, 40, 600)]
+    for n in (200, 600):
+        docs = spark.createDataFrame(list(enumerate(texts[:n])), "doc_id long, text string")
+        got = {r.doc_id for r in jaccard_dedup.one_of_each(docs).collect()}
+        assert got == slow_kept(list(enumerate(texts[:n])))
+        assert compared[-1].count() <= n
