@@ -37,7 +37,8 @@ NEIGHBOURS = 64
 #: one had the most of the ten best neighbours in the seed's own shard.
 SKETCH_BITS = 16
 K1, B = 1.2, 0.75
-CACHED_WORDS = 400_000
+#: Words and pieces a process keeps, about 200 bytes each.
+CACHED_WORDS = 1_000_000
 #: Added to the sequence ids of whole windows.
 WHOLE = 1 << 60
 #: Words in lower case whose pieces are plain: an apostrophe may begin an ending.
