@@ -107,6 +107,8 @@ class WordEncoder:
     def _find(self, word: bytes) -> bytes:
         if word.isalpha() and word.islower():  # letters of ASCII
             return b"".join([self.bytes_of[token.id] for token in self.model.tokenize(word.decode())])
+        if word[-1:] in (b",", b".") and word[:-1].isalpha() and word[:-1].islower():
+            return self.known[word[:-1]] + self.known[word[-1:]]
         if _VISIBLE.fullmatch(word) and b"<|" not in word:
             pieces = _PIECES.findall(word)
             if len(pieces) > 1:
@@ -171,12 +173,25 @@ def _pieces(path: str, window: int, end_id: int):
     return run
 
 
+def term_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids, ascending, and how often each is there; not for no ids. The
+    stable order of 16-bit numbers is a radix sort."""
+    own = np.sort(ids, kind="stable")
+    first = np.ones(len(own), dtype=bool)
+    np.not_equal(own[1:], own[:-1], out=first[1:])
+    at = np.flatnonzero(first)
+    count = np.empty_like(at)
+    count[:-1] = at[1:] - at[:-1]
+    count[-1] = len(own) - at[-1]
+    return own[at], count
+
+
 def _frequencies(kind: str, size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(size, dtype=np.int64)
         for batch in batches:
             for ids in batch["ids"]:
-                counts[np.unique(np.frombuffer(ids, dtype=kind))] += 1
+                counts[term_counts(np.frombuffer(ids, dtype=kind))[0]] += 1
         term = np.flatnonzero(counts)
         yield pd.DataFrame({"term": term, "docs": counts[term]})
 
@@ -190,7 +205,7 @@ class Shard:
         self.n = len(tails)
         terms, tfs, sizes = [], [], []
         for ids in tails:
-            t, c = np.unique(ids, return_counts=True)
+            t, c = term_counts(ids)
             terms.append(t)
             tfs.append(c)
             sizes.append(len(t))

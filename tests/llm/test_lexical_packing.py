@@ -136,3 +136,13 @@ def test_last_rest_needs_no_padding(sizes):
         full, rest = lp.pack_shard(tails, np.ones(100), 100.0, 2048, True)
         assert not rest and sum(len(p[3]) for s in full for p in s) == sum(len(t[3]) for t in tails)
         assert all((n := sum(len(p[3]) for p in s)) & (n - 1) == 0 for s in full)
+
+
+def test_term_counts():
+    rng = np.random.default_rng(2)
+    for kind in ("<u2", "<u4"):
+        for n in (1, 2, 7, 2047):
+            ids = rng.integers(0, 50, n).astype(kind)
+            terms, counts = lp.term_counts(ids)
+            want, times = np.unique(ids, return_counts=True)
+            assert terms.tolist() == want.tolist() and counts.tolist() == times.tolist()
