@@ -12,6 +12,12 @@ a spanning forest only.
 
 Components of these links come from alternating star contractions, each round
 written to the shared folder.
+
+A wider budget cannot be dealt out that way: a fingerprint would take part in most
+pairs of nodes. ``near_classes`` therefore takes several fingerprints of a text and
+several rotations of each, and looks within single nodes of their tries, where
+subtrees are joined as before: near texts that part in the upper levels of one trie
+meet in another one.
 """
 
 from __future__ import annotations
@@ -37,6 +43,10 @@ TASK = 1 << 16
 DESCENT = 6
 #: Node pairs walked at a time.
 FRONTIER = 1 << 18
+#: Of near_classes: rotations of a fingerprint at most, leaves of a node that are
+#: compared in blocks of so many pairs (more are walked).
+ROTATIONS = 8
+FEW_LEAVES, BLOCK = 1 << 12, 1 << 18
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -52,13 +62,33 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
         ends = list(itertools.accumulate(len(t) + 1 for t in tokens))
         starts = itertools.chain((0,), ends)
         hashes = [digest(joined[s : e - 1], SEED) for s, e in zip(starts, ends[words - 1 :])]
-    bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return majority(np.array(hashes, dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of 64-bit hashes."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
     counts = np.zeros(64, dtype=np.int64)
     for k in range(0, len(bits), 255):
         counts += bits[k : k + 255].sum(axis=0, dtype=np.uint8)
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "little")
 
 
+def fingerprints(hashes: np.ndarray, n: int) -> list[int]:
+    """``n`` signed fingerprints of shingle hashes: of the hashes themselves, then of
+    hashes mixed anew (SplitMix64)."""
+    out = []
+    for k in range(n):
+        own = hashes
+        if k:
+            own = own + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+            own = (own ^ own >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+            own = (own ^ own >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+            own ^= own >> np.uint64(31)
+        out.append(_signed(majority(np.ascontiguousarray(own, dtype="<u8"))))
+    return out
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -284,6 +314,54 @@ def near_links(unique: DataFrame, budget: int = MAX_BITS) -> DataFrame:
     return stored(links.distinct(), "near-links")
 
 
+def leaf_classes(leaves: np.ndarray, depth: int, budget: int) -> np.ndarray:
+    """Component root of each leaf of a node; sorted, without repeats."""
+    n = len(leaves)
+    if n > FEW_LEAVES:
+        return walk(leaves, None, depth, budget)
+    forest = Forest(n)
+    step = max(1, BLOCK // max(1, n))
+    for k in range(0, n, step):
+        i, j = np.nonzero(popcount(leaves[k : k + step, None] ^ leaves[None, k:]) <= budget)
+        above = i < j
+        if above.any():
+            forest.unite(i[above] + k, j[above] + k)
+    return forest.root
+
+
+def _classifier(depth: int, budget: int):
+    def classify(group: pd.DataFrame) -> pd.DataFrame:
+        """Members of the classes of at least two rows within one node."""
+        leaves, at = np.unique(group["fp"].to_numpy().view(np.uint64), return_inverse=True)
+        root = leaf_classes(leaves, depth, budget)[at]
+        many = np.bincount(root)[root] > 1
+        return pd.DataFrame(
+            {"digest": group["digest"][many], "node": group["node"][many], "leaf": leaves[root[many]].view(np.int64)}
+        )
+
+    return classify
+
+
+def near_classes(texts: DataFrame, count: int, budget: int, subtree: int = SUBTREE) -> DataFrame:
+    """(digest, key) of texts (digest, prints), ``prints`` an array of ``count``
+    fingerprints. Texts share a key if one of the fingerprints takes them to the
+    same node and links them there, by ``budget`` differing bits or over others.
+    """
+    depth = min(24, max(0, math.ceil(math.log2(max(1, texts.count()) / subtree))))
+    leaves = []
+    for number in range(count):
+        for turn in range(min(ROTATIONS, 64 // depth) if depth else 1):
+            fp, bits = F.get("prints", F.lit(number)), turn * depth
+            if bits:
+                fp = F.shiftleft(fp, bits).bitwiseOR(F.shiftrightunsigned(fp, 64 - bits))
+            top = F.shiftrightunsigned(fp, 64 - depth) if depth else F.lit(0).cast("long")
+            node = F.lit((number * ROTATIONS + turn) << depth).cast("long") + top
+            leaves.append(F.struct(node.alias("node"), fp.alias("fp")))
+    rows = texts.select("digest", F.explode(F.array(*leaves)).alias("leaf")).select("digest", "leaf.node", "leaf.fp")
+    found = rows.groupBy("node").applyInPandas(_classifier(depth, budget), "digest binary, node long, leaf long")
+    return found.select("digest", F.xxhash64("node", "leaf").alias("key"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(member, component): the smallest id reachable, for every linked id but
     the smallest ones themselves. Alternates large-star and small-star."""

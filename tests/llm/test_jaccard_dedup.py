@@ -128,3 +128,27 @@ def test_crowd_below_the_similarity_forms_few_pairs(spark, monkeypatch):
         got = {r.doc_id for r in jaccard_dedup.one_of_each(docs).collect()}
         assert got == slow_kept(list(enumerate(texts[:n])))
         assert compared[-1].count() <= n
+
+
+def test_fingerprints_alone_propose_near_copies(spark):
+    """Without MinHash keys: nearly all that brute force finds, nothing else."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for _ in range(40):
+        words = [f"w{k}" for k in rng.integers(0, 5000, 200)]
+        texts += [" ".join(words)] + [" ".join(edited(rng, words, n)) for n in (1, 2, 3, 4)]
+    sets = [jaccard_dedup.shingles(t) for t in texts]
+    rows = [
+        (bytes(jaccard_dedup.set_digest(s)), k, jaccard_dedup.fingerprints(s, jaccard_dedup.PRINTS), [])
+        for k, s in enumerate(sets)
+    ]
+    unique = spark.createDataFrame(rows, "digest binary, rep long, prints array<long>, bands array<long>")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    links = {(r.child, r.parent) for r in jaccard_dedup.near_links(docs, unique, 5, 80).collect()}
+    assert all(jaccard_dedup.similar(sets[a], sets[b]) for a, b in links)
+    root = list(range(len(texts)))
+    for a, b in links:
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    kept, want = set(root), slow_kept(list(enumerate(texts)))
+    assert want <= kept and len(kept - want) <= 0.02 * (len(texts) - len(want))

@@ -1,5 +1,6 @@
 """Fingerprints and the trie join against direct versions."""
 
+import itertools
 import re
 
 import numpy as np
@@ -118,3 +119,42 @@ def test_chain_of_components(spark):
 
 def test_empty(spark):
     assert sd.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_near_classes_against_all_pairs(spark, monkeypatch):
+    """One node: the components of all links. Deeper nodes: parts of them, few missing."""
+    rng = np.random.default_rng(6)
+    prints = []
+    for _ in range(60):
+        base = [int(x) for x in rng.integers(0, 1 << 63, 4)]
+        prints.append(base)
+        for n in (0, 3, 7, 15):
+            prints.append([b ^ sum(1 << int(k) for k in rng.choice(63, n, replace=False)) for b in base])
+    rows = [(k.to_bytes(4, "little"), p) for k, p in enumerate(prints)]
+    frame = spark.createDataFrame(rows, "digest binary, prints array<long>").repartition(3)
+
+    def direct(number):
+        root = list(range(len(prints)))
+        for a, b in itertools.combinations(range(len(prints)), 2):
+            if (prints[a][number] ^ prints[b][number]).bit_count() <= 11 and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+        return {tuple(k for k in range(len(prints)) if root[k] == r) for r in set(root) if root.count(r) > 1}
+
+    def found(subtree):
+        groups = {}
+        for r in sd.near_classes(frame, 4, 11, subtree).collect():
+            groups.setdefault(r.key, []).append(int.from_bytes(r.digest, "little"))
+        return {tuple(sorted(g)) for g in groups.values()}
+
+    want = set.union(*map(direct, range(4)))
+    assert found(1000) == want
+    deep = found(16)
+    assert all(any(set(g) <= set(w) for w in want) for g in deep)
+    of = {frozenset(p) for g in deep for p in itertools.combinations(g, 2)}
+    near = [(5 * k, 5 * k + j) for k in range(60) for j in (1, 2, 3)]
+    assert sum(frozenset(p) in of for p in near) >= 0.95 * len(near)
+    leaves = np.unique(np.array([p[0] for p in prints], dtype=np.uint64))
+    before = sd.leaf_classes(leaves, 0, 11)
+    monkeypatch.setattr(sd, "FEW_LEAVES", 0)
+    assert np.array_equal(sd.leaf_classes(leaves, 0, 11), before)
