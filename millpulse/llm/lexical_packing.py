@@ -133,26 +133,26 @@ class WordEncoder:
             yield np.frombuffer(b"".join(map(ids_of, words)) + end, dtype="<u4")
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def shared_encoder(path: str) -> WordEncoder:
+def shared_encoder(path: str, cached: int = CACHED_WORDS) -> WordEncoder:
     """One for each worker process: its words serve the tasks that follow."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    if (path, cached) not in _encoders:
+        _encoders[path, cached] = WordEncoder(path, cached)
+    return _encoders[path, cached]
 
 
 def _planes(vocabulary: int) -> np.ndarray:
     return np.random.default_rng(7).standard_normal((vocabulary, SKETCH_BITS)).astype(np.float32)
 
 
-def _pieces(path: str, window: int, end_id: int):
+def _pieces(path: str, window: int, end_id: int, cached: int):
     """Whole windows and tails of each document; 16 bits hold an id of this
     vocabulary, a larger one takes 32."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = shared_encoder(path)
+        encoder = shared_encoder(path, cached)
         kind = "<u2" if encoder.vocabulary <= 1 << 16 else "<u4"
         planes = _planes(max(encoder.vocabulary, end_id + 1))
         powers = 1 << np.arange(SKETCH_BITS)
@@ -341,13 +341,14 @@ def _packer(kind: str, idf: np.ndarray, mean_length: float, window: int, shard_d
 
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-    window: int = WINDOW, end_id: int = END_ID, shard_docs: int = SHARD_DOCS,
+    window: int = WINDOW, end_id: int = END_ID, shard_docs: int = SHARD_DOCS, cached: int = CACHED_WORDS,
 ) -> DataFrame:
     """(doc_id, start, length, doc_tokens, sequence_id, offset, ids), a row for
     each piece; ids are little-endian unsigned 32-bit numbers.
 
     Null or empty text is the end id alone. Rows of null or repeated ids are
-    packed like others, each on its own. ``window`` must be a power of two.
+    packed like others, each on its own. ``window`` must be a power of two. A worker
+    process keeps ``cached`` words for the tasks that follow.
     """
     path = path or tokenizer_path()
     encoder = WordEncoder(path)
@@ -357,7 +358,7 @@ def pack(
     id_type = rows.schema["doc_id"].dataType.simpleString()
     pieces = stored(
         rows.mapInPandas(
-            _pieces(path, window, end_id),
+            _pieces(path, window, end_id, cached),
             f"doc_id {id_type}, start long, doc_tokens long, whole boolean, sketch int, ids binary",
         ),
         "token-pieces",

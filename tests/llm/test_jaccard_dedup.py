@@ -152,3 +152,12 @@ def test_fingerprints_alone_propose_near_copies(spark):
         root = [low if r == high else r for r in root]
     kept, want = set(root), slow_kept(list(enumerate(texts)))
     assert want <= kept and len(kept - want) <= 0.02 * (len(texts) - len(want))
+
+
+def test_processes_get_few_sets_at_once(spark, monkeypatch):
+    """While the stage runs, and as before afterwards."""
+    key, seen, whole = "spark.sql.execution.arrow.maxRecordsPerBatch", [], jaccard_dedup.stored
+    monkeypatch.setattr(jaccard_dedup, "stored", lambda *a: seen.append(spark.conf.get(key)) or whole(*a))
+    before = spark.conf.get(key)
+    jaccard_dedup.one_of_each(spark.createDataFrame(corpus()[:12], "doc_id long, text string")).count()
+    assert set(seen) == {str(jaccard_dedup.ARROW_ROWS)} and spark.conf.get(key) == before

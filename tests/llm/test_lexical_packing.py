@@ -146,3 +146,19 @@ def test_term_counts():
             terms, counts = lp.term_counts(ids)
             want, times = np.unique(ids, return_counts=True)
             assert terms.tolist() == want.tolist() and counts.tolist() == times.tolist()
+
+
+def test_pipeline_keeps_fewer_words_in_a_process(spark, monkeypatch):
+    import corpus_pipeline
+
+    asked, whole = [], lp.pack
+    monkeypatch.setattr(lp, "pack", lambda docs, **more: asked.append(more) or whole(docs, **more))
+    docs = [(k, f"some words {k}, again") for k in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert corpus_pipeline.pack_windows(spark, frame, "").count() >= 20
+    assert asked == [{"cached": corpus_pipeline.CACHED_WORDS}] and corpus_pipeline.CACHED_WORDS < lp.CACHED_WORDS
+    check(docs, whole(frame, cached=4).collect())
+    small = lp.shared_encoder(lp.tokenizer_path(), 4)
+    assert small is lp.shared_encoder(lp.tokenizer_path(), 4) and small is not lp.shared_encoder(lp.tokenizer_path())
+    list(small.encode([t for _, t in docs]))
+    assert len(small.known) + len(small.known.old) <= 4
